@@ -59,8 +59,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tierflow/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it back.
+def stage(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]:
+    """Write ``df`` once to the shared scratch folder; the stored frame and its path.
 
     The written table cuts the lineage (lost executors only repeat the read), is columnar, so that later passes read
     just the columns they need, and gives the row count from file footers.
@@ -68,7 +68,12 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """The stored frame of ``stage``."""
+    return stage(df, label)[0]
 
 
 @contextmanager

@@ -1,0 +1,34 @@
+from tierflow.sinks.catalog import (
+    create_table,
+    create_view,
+    describe,
+    drop_table,
+    ensure_database,
+    register_layers,
+    register_temp_view,
+)
+from tierflow.sinks.lake import Lake, Snapshot, read_snapshot
+from tierflow.sinks.maintenance import compact, expired_snapshots, vacuum, zorder
+from tierflow.sinks.snapshots import Layout, delete_where, history, load_table, publish
+
+__all__ = [
+    "Lake",
+    "Layout",
+    "Snapshot",
+    "compact",
+    "create_table",
+    "create_view",
+    "delete_where",
+    "describe",
+    "drop_table",
+    "ensure_database",
+    "expired_snapshots",
+    "history",
+    "load_table",
+    "publish",
+    "read_snapshot",
+    "register_layers",
+    "register_temp_view",
+    "vacuum",
+    "zorder",
+]
