@@ -6,9 +6,14 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierflow.runtime import local_frame
 
 UNKNOWN = "Unknown"
 
+MAPPING_SCHEMA = T.StructType([T.StructField("source", T.StringType()), T.StructField("target", T.StringType())])
+
 # Above this many entries a mapping is joined as a table instead of being inlined in the expression.
 INLINE_MAPPING_LIMIT = 200
 
@@ -62,7 +67,7 @@ def add_category(
     """``df`` plus the recoded category; picks the inline or the table form by the mapping's size."""
     if len(mapping) <= INLINE_MAPPING_LIMIT:
         return df.withColumn(alias, recode(category, mapping, default))
-    table = df.sparkSession.createDataFrame(list(mapping.items()), "source string, target string")
+    table = local_frame(df.sparkSession, list(mapping.items()), MAPPING_SCHEMA)
     return recode_with_table(df, category, table, "source", "target", alias, default)
 
 

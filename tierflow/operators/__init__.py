@@ -1,7 +1,7 @@
 from tierflow.operators.enrich import left_lookup
 from tierflow.operators.pivot import category_pivot, conditional_pivot, grouped_pivot, ordered_by
 from tierflow.operators.quality import RULES, ColumnRule, QualityError, TableRules, check, enforce
-from tierflow.operators.ranking import argmax_column, ntile_exact, top_categories
+from tierflow.operators.ranking import argmax_column, ntile_exact, ntiles_exact, top_categories
 from tierflow.operators.rfm import activeness, exclude_code, period_days, rfm_code, rfm_metrics, score
 
 __all__ = [
@@ -19,6 +19,7 @@ __all__ = [
     "grouped_pivot",
     "left_lookup",
     "ntile_exact",
+    "ntiles_exact",
     "ordered_by",
     "period_days",
     "rfm_code",

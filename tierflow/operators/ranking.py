@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
-from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.runtime import local_frame
+
 # ---------------------------------------------------------------------------------------------------------------------
 # Per-row rankings
 
@@ -57,7 +60,7 @@ def argmax_column(measures: Mapping[str, str], fill: int | float = 0, default: s
 MAX_ROWS_PER_TASK = 1_000_000
 MAX_CUTS = 64
 SAMPLE_PER_CUT = 32
-MAX_ROUNDS = 40
+MAX_STALLED = 4
 
 
 @dataclass
@@ -69,6 +72,7 @@ class _Range:
     high: Row | None
     rows: int
     wanted: dict[int, int] = field(default_factory=dict)  # bucket number -> rank within the range
+    stalled: int = 0  # rounds without a split
 
 
 def _bucket_ends(rows: int, buckets: int) -> dict[int, int]:
@@ -77,16 +81,30 @@ def _bucket_ends(rows: int, buckets: int) -> dict[int, int]:
     return {bucket: bucket * size + min(bucket, larger) for bucket in range(1, buckets)}
 
 
-def _plain_ntile(df: DataFrame, buckets: int, value: str, key: Sequence[str], alias: str, groups: Sequence[str]) -> DataFrame:
-    window = Window.partitionBy(*groups).orderBy(F.col(value).asc_nulls_first(), *[F.col(k).asc_nulls_first() for k in key])
-    return df.withColumn(alias, F.ntile(buckets).over(window))
+def _plain_ntiles(
+    df: DataFrame, buckets: int, values: Mapping[str, str], key: Sequence[str], groups: Sequence[str]
+) -> DataFrame:
+    """One window per value; the windows share their partitioning."""
+    ties = [F.col(name).asc_nulls_first() for name in key]
+    partition = Window.partitionBy(*groups)
+    return df.select(
+        "*",
+        *[
+            F.ntile(buckets).over(partition.orderBy(F.col(value).asc_nulls_first(), *ties)).alias(alias)
+            for alias, value in values.items()
+        ],
+    )
+
+
+def _below(x: Column) -> Callable[[Column], Column]:
+    return lambda end: end < x
 
 
 class _GroupTable:
     """Small per-group arrays from the driver, attached to rows by group.
 
-    Ungrouped rows take the array as a literal. Grouped rows join a table of the groups that exceed one task: there are
-    at most rows / MAX_ROWS_PER_TASK of them, which bounds the broadcast.
+    Ungrouped rows take the array from a one-row scalar subquery. Grouped rows join a table of the groups that exceed one
+    task: there are at most rows / MAX_ROWS_PER_TASK of them, which bounds the broadcast.
     """
 
     def __init__(self, df: DataFrame, groups: Sequence[str], entry: T.StructType):
@@ -96,30 +114,19 @@ class _GroupTable:
         spark = self.df.sparkSession
         array = T.ArrayType(self.entry)
         if not self.groups:
-            return self.df.withColumn(name, _literal_array(per_group[()], self.entry))
+            only = local_frame(spark, [(per_group[()],)], T.StructType([T.StructField(name, array)]))
+            return self.df.withColumn(name, only.scalar())
         fields = [T.StructField(f"__g{i}", self.df.schema[g].dataType) for i, g in enumerate(self.groups)]
-        table = spark.createDataFrame(
-            [(*group, entries) for group, entries in per_group.items()],
-            T.StructType([*fields, T.StructField(name, array)]),
-        )
+        rows = [(*group, entries) for group, entries in per_group.items()]
+        table = local_frame(spark, rows, T.StructType([*fields, T.StructField(name, array)]))
         condition = reduce(
             lambda a, b: a & b, [self.df[g].eqNullSafe(table[f"__g{i}"]) for i, g in enumerate(self.groups)]
         )
         return self.df.join(F.broadcast(table), condition, "inner").drop(*[f.name for f in fields])
 
 
-def _literal(value: Any, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StructType):
-        if value is None:
-            return F.lit(None).cast(dtype)
-        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, dtype.fields)])
-    if isinstance(dtype, T.ArrayType):
-        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
-def _literal_array(entries: Sequence[tuple], entry: T.StructType) -> Column:
-    return _literal(list(entries), T.ArrayType(entry))
+def _literal(row: Row, dtype: T.StructType) -> Column:
+    return F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, dtype.fields)])
 
 
 def _select_bucket_ends(
@@ -162,9 +169,12 @@ def _select_bucket_ends(
 
     small = [part for part in ranges if part.rows <= limit]
     large = [part for part in ranges if part.rows > limit]
-    for round_number in range(MAX_ROUNDS):
-        if not large:
-            break
+    round_number = 0
+    while large:
+        round_number += 1
+        # Every round draws another sample. Distinct rows are split by one of a few samples; equal rows never are.
+        if max(part.stalled for part in large) >= MAX_STALLED:
+            raise ValueError("ntile order is not unique: equal (value, key) rows exceed one task")
 
         def cut_count(part: _Range) -> int:
             return max(2, min(MAX_CUTS, math.ceil(2 * part.rows / limit)))
@@ -206,12 +216,11 @@ def _select_bucket_ends(
                 count = histogram.get(index, {}).get(position, 0)
                 inside = {b: rank - before for b, rank in part.wanted.items() if before < rank <= before + count}
                 if inside:
-                    narrowed.append(_Range(part.group, edges[position], edges[position + 1], count, inside))
+                    stalled = part.stalled + 1 if count == part.rows else 0
+                    narrowed.append(_Range(part.group, edges[position], edges[position + 1], count, inside, stalled))
                 before += count
         small += [part for part in narrowed if part.rows <= limit]
         large = [part for part in narrowed if part.rows > limit]
-    if large:
-        raise ValueError("ntile order is not unique: a range of equal (value, key) rows exceeds one task")
 
     def ranking(part: _Range) -> tuple:
         return (0, [], sorted(set(part.wanted.values())))
@@ -227,21 +236,19 @@ def _select_bucket_ends(
     return {group: [by_bucket[bucket] for bucket in sorted(by_bucket)] for group, by_bucket in found.items()}
 
 
-def ntile_exact(
+def ntiles_exact(
     df: DataFrame,
     buckets: int,
-    value: str,
+    values: Mapping[str, str],
     key: str | Sequence[str],
-    alias: str,
     partition_by: Sequence[str] = (),
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
-    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """``ntile(buckets)`` over ``value``, nulls first, ties by ``key``, optionally per group; same result as the window.
+    """``ntile(buckets)`` of several columns, given as ``{output: column}``; nulls first, ties by ``key``.
 
-    ``key`` must make rows unique within a group. ``df`` is read several times, so pass a materialised frame. Groups of at
-    most ``max_rows_per_task`` rows use the window; larger ones, one hot group included, are bucketed without collecting
-    the group in any task.
+    Same result as the window function, over all rows or per ``partition_by`` group. ``key`` must make rows unique within
+    a group. ``df`` is read several times, so pass a materialised frame. Groups of at most ``max_rows_per_task`` rows use
+    the window; a larger group is bucketed without collecting it in any task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     groups = list(partition_by)
@@ -250,27 +257,58 @@ def ntile_exact(
         count = df.count()
         hot = {(): count} if count > limit else {}
     else:
-        counts = sizes if sizes is not None else df.groupBy(*groups).count()
-        hot = {tuple(row[g] for g in groups): row["count"] for row in counts.filter(F.col("count") > limit).collect()}
+        large = df.groupBy(*groups).count().filter(F.col("count") > limit)
+        hot = {tuple(row[g] for g in groups): row["count"] for row in large.collect()}
     if not hot:
-        return _plain_ntile(df, buckets, value, keys, alias, groups)
+        return _plain_ntiles(df, buckets, values, keys, groups)
+
+    key_fields = [T.StructField(f"k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+    types, orders = {}, {}
+    for alias, value in values.items():
+        types[alias] = T.StructType([T.StructField("v", df.schema[value].dataType), *key_fields])
+        orders[alias] = F.struct(F.col(value).alias("v"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+
+    def select(alias: str) -> dict[tuple, list[Row]]:
+        rows = df.select(*groups, orders[alias].alias("x"))
+        return _select_bucket_ends(rows, hot, groups, types[alias], buckets, limit)
 
-    order_type = T.StructType([T.StructField("v", df.schema[value].dataType)] +
-                              [T.StructField(f"k{i}", df.schema[k].dataType) for i, k in enumerate(keys)])
-    x = F.struct(F.col(value).alias("v"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    ends = _select_bucket_ends(df.select(*groups, x.alias("x")), hot, groups, order_type, buckets, limit)
+    # The columns are independent, so their jobs run side by side.
+    with ThreadPoolExecutor(max_workers=len(values)) as pool:
+        started = {alias: pool.submit(inheritable_thread_target(df.sparkSession)(select), alias) for alias in values}
+        ends = {alias: future.result() for alias, future in started.items()}
 
-    entry = T.StructType([T.StructField("x", order_type)])
     if not groups:
-        bounds = [_literal(tuple(row), order_type) for row in ends[()]]
-        bucket = reduce(lambda a, b: a + b, [(x > bound).cast("int") for bound in bounds], F.lit(1))
-        return df.withColumn(alias, bucket)
-
-    attached = _GroupTable(df, groups, entry).attach({g: [(tuple(row),) for row in rows] for g, rows in ends.items()}, "__ends")
-    bucketed = attached.withColumn(alias, (F.size(F.filter("__ends", lambda end: end["x"] < x)) + 1).cast("int")).drop("__ends")
-    hot_table = df.sparkSession.createDataFrame(
-        list(hot), T.StructType([T.StructField(f"__g{i}", df.schema[g].dataType) for i, g in enumerate(groups)])
-    )
+        outputs = []
+        for alias in values:
+            bounds = [_literal(row, types[alias]) for row in ends[alias][()]]
+            passed = [(orders[alias] > bound).cast("int") for bound in bounds]
+            outputs.append(reduce(lambda a, b: a + b, passed, F.lit(1)).alias(alias))
+        return df.select("*", *outputs)
+
+    # One entry per hot group: for each output the array of its bucket ends.
+    entry = T.StructType([T.StructField(f"e{i}", T.ArrayType(types[alias])) for i, alias in enumerate(values)])
+    per_group = {group: [tuple([tuple(row) for row in ends[alias][group]] for alias in values)] for group in hot}
+    attached = _GroupTable(df, groups, entry).attach(per_group, "__ends")
+    outputs = []
+    for i, alias in enumerate(values):
+        passed = F.filter(F.get("__ends", F.lit(0))[f"e{i}"], _below(orders[alias]))
+        outputs.append((F.size(passed) + 1).cast("int").alias(alias))
+    bucketed = attached.select(*df.columns, *outputs)
+    fields = [T.StructField(f"__g{i}", df.schema[g].dataType) for i, g in enumerate(groups)]
+    hot_table = local_frame(df.sparkSession, list(hot), T.StructType(fields))
     is_hot = reduce(lambda a, b: a & b, [df[g].eqNullSafe(hot_table[f"__g{i}"]) for i, g in enumerate(groups)])
     rest = df.join(F.broadcast(hot_table), is_hot, "left_anti")
-    return _plain_ntile(rest, buckets, value, keys, alias, groups).unionByName(bucketed)
+    return _plain_ntiles(rest, buckets, values, keys, groups).unionByName(bucketed)
+
+
+def ntile_exact(
+    df: DataFrame,
+    buckets: int,
+    value: str,
+    key: str | Sequence[str],
+    alias: str,
+    partition_by: Sequence[str] = (),
+    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+) -> DataFrame:
+    """``ntiles_exact`` of one column."""
+    return ntiles_exact(df, buckets, {alias: value}, key, partition_by, max_rows_per_task)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.days import day_words, days_in_words, fits_words
-from tierflow.operators.ranking import MAX_ROWS_PER_TASK, ntile_exact
+from tierflow.operators.ranking import MAX_ROWS_PER_TASK, ntiles_exact
 
 METRICS = ("Recency", "Frequency", "MonetaryDuration")
 SCORES = ("RecencyScore", "FrequencyScore", "MonetaryDurationScore")
@@ -101,15 +101,12 @@ def score(
     ``invert_recency`` ranks the largest recency first, so that a high score is good for all three metrics. ``metrics``
     is read several times, so pass a materialised frame.
     """
-    sizes = metrics.groupBy(*partition_by).count() if partition_by else None
+    values = dict(zip(names, columns))
     ranked = metrics
-    for column, name in zip(columns, names):
-        value = column
-        if invert_recency and column == columns[0]:
-            value = "__inverted"
-            ranked = ranked.withColumn(value, -F.col(column))
-        ranked = ntile_exact(ranked, buckets, value, key, name, partition_by, max_rows_per_task, sizes)
-    return ranked.drop("__inverted")
+    if invert_recency:
+        ranked = metrics.withColumn("__inverted", -F.col(columns[0]))
+        values[names[0]] = "__inverted"
+    return ntiles_exact(ranked, buckets, values, key, partition_by, max_rows_per_task).drop("__inverted")
 
 
 def rfm_code(scores: Sequence[str] = SCORES) -> Column:

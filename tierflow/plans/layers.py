@@ -120,12 +120,15 @@ def metrics_of(summed: DataFrame, rows: DataFrame, config: LayerConfig) -> DataF
 def profile(rows: DataFrame, config: LayerConfig, period: rfm.Period | None = None) -> DataFrame:
     """Scored summary of every key: one scan of ``rows``, no self-join, no join of silver and rfm.
 
-    ``silver_of``, ``rfm_of`` and ``gold_of`` take their rows and columns from it. It is materialised, since scoring reads
-    it several times and the three tables share it.
+    ``silver_of``, ``rfm_of`` and ``gold_of`` take their rows and columns from it. The summary is materialised, since
+    scoring reads it several times and the three tables share it.
     """
-    summed = materialize(summary(rows, config, period), "summary")
-    return score(metrics_of(summed, rows, config), config)
+    return scored(materialize(summary(rows, config, period), "summary"), rows, config)
+
 
+def scored(summed: DataFrame, rows: DataFrame, config: LayerConfig) -> DataFrame:
+    """The profile of an already materialised summary of ``rows``."""
+    return score(metrics_of(summed, rows, config), config)
 
 
 def silver_of(profiled: DataFrame, config: LayerConfig) -> DataFrame:

@@ -10,7 +10,7 @@ from tierflow import schemas
 from tierflow.operators import quality, rfm
 from tierflow.plans import layers
 from tierflow.plans.config import LayerConfig
-from tierflow.runtime import stage
+from tierflow.runtime import delete_path, local_frame, stage
 from tierflow.sinks.lake import Lake, Snapshot, file_sizes, read_snapshot
 from tierflow.sinks.snapshots import QUARANTINE_SUFFIX, Layout, publish
 from tierflow.sources.json_logs import read_json_logs, split_corrupt
@@ -21,7 +21,7 @@ def create_layers(lake: Lake, partition_bronze_by: tuple[str, ...] = ("Date",))
     names = []
     for table, schema in schemas.LAYERS.items():
         if lake.snapshot(table) is None:
-            empty = lake.spark.createDataFrame([], schema)
+            empty = local_frame(lake.spark, [], schema)
             publish(lake, empty, table, partition_by=partition_bronze_by if table == "bronze" else (), operation="create")
         names.append(f"{lake.database}.{table}")
     return names
@@ -40,19 +40,25 @@ def bronze_layer(lake: Lake, hits: DataFrame, config: LayerConfig, cluster: bool
         if bad.take(1):
             publish(lake, bad, "bronze" + QUARANTINE_SUFFIX, evolve=True, partition_by=())
     layout = Layout(cluster_by=(config.key,)) if cluster else Layout(compact=True)
-    return publish(
+    snapshot = publish(
         lake, staged, "bronze", partition_by=config.partition_by, rules=quality.RULES["bronze"], policy=config.policy,
         layout=layout, stored=stored,
     )
+    delete_path(lake.spark, path)
+    return snapshot
 
 
-def silver_layer(lake: Lake, config: LayerConfig) -> DataFrame:
-    """Publish rfm and silver from bronze; returns the profile both come from."""
+def profile_bronze(lake: Lake, config: LayerConfig) -> tuple[DataFrame, str]:
+    """The scored profile of the published bronze table, and the path of the summary it reads."""
     rows = read_snapshot(lake, "bronze")
-    profiled = layers.profile(rows, config, rfm.date_bounds(rows, config.date))
+    summed, path = stage(layers.summary(rows, config, rfm.date_bounds(rows, config.date)), "summary")
+    return layers.scored(summed, rows, config), path
+
+
+def silver_layer(lake: Lake, config: LayerConfig, profiled: DataFrame) -> None:
+    """Publish rfm and silver from a profile of the bronze table."""
     publish(lake, layers.rfm_of(profiled, config), "rfm", rules=quality.RULES["rfm"], policy=config.policy)
     publish(lake, layers.silver_of(profiled, config), "silver", rules=quality.RULES["silver"], policy=config.policy)
-    return profiled
 
 
 def gold_layer(lake: Lake, config: LayerConfig, profiled: DataFrame | None = None) -> Snapshot:
@@ -75,6 +81,8 @@ def run(
     """Raw JSON logs to published layers; returns the gold table."""
     hits = read_json_logs(lake.spark, raw_path, **(read_options or {}))
     bronze_layer(lake, hits, config, cluster, **(flatten_options or {}))
-    profiled = silver_layer(lake, config)
+    profiled, path = profile_bronze(lake, config)
+    silver_layer(lake, config, profiled)
     gold_layer(lake, config, profiled)
+    delete_path(lake.spark, path)
     return read_snapshot(lake, "gold")

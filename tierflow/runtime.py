@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Fixed settings every job of this package is tuned for.
 SESSION_DEFAULTS = {
@@ -54,9 +57,34 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _session_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tierflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, not yet existing path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/tierflow/{label}-{uuid.uuid4().hex}"
+    """A new, not yet existing path below this application's part of the shared scratch folder."""
+    return f"{_session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application. Frames that still read one stop working."""
+    delete_path(spark, _session_scratch(spark))
+
+
+def _as_arrow(value, dtype: T.DataType):
+    if value is None:
+        return None
+    if isinstance(dtype, T.StructType):
+        return {field.name: _as_arrow(item, field.dataType) for field, item in zip(dtype.fields, value)}
+    if isinstance(dtype, T.ArrayType):
+        return [_as_arrow(item, dtype.elementType) for item in value]
+    return value
+
+
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A small driver-side table. Through Arrow it becomes a local relation: no Python worker, exact values."""
+    records = [_as_arrow(row, schema) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)), schema)
 
 
 def stage(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]:
@@ -72,7 +100,7 @@ def stage(df: DataFrame, label: str = "stage") -> tuple[DataFrame, str]:
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
-    """The stored frame of ``stage``."""
+    """The stored frame of ``stage``; it stays until ``clear_scratch``."""
     return stage(df, label)[0]
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.runtime import path_exists
+from tierflow.runtime import local_frame, path_exists
 
 LOG_SCHEMA = T.StructType(
     [
@@ -89,12 +89,12 @@ class Lake:
     def log(self) -> DataFrame:
         """The publish log; empty for a new lake."""
         if not path_exists(self.spark, self.log_path):
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            return local_frame(self.spark, [], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
 
     def append_log(self, snapshot: Snapshot) -> Snapshot:
         stamped = replace(snapshot, ts=snapshot.ts or dt.datetime.now(dt.timezone.utc))
-        self.spark.createDataFrame([stamped.log_row()], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        local_frame(self.spark, [stamped.log_row()], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
         return stamped
 
     def snapshot(
@@ -120,7 +120,7 @@ def read_paths(
 ) -> DataFrame:
     """Union of the directories of a snapshot; columns that an older directory lacks are null."""
     if not paths:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     frames = [spark.read.schema(schema).format(fmt).load(path).select(*schema.fieldNames()) for path in paths]
     return reduce(lambda left, right: left.unionByName(right), frames)
 

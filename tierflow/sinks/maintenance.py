@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.runtime import delete_path
+from tierflow.runtime import delete_path, local_frame
 from tierflow.sinks.lake import Lake, Snapshot, read_snapshot
 from tierflow.sinks.snapshots import TARGET_FILE_BYTES, Z_BITS, Layout, publish
 
@@ -37,7 +37,7 @@ def _rewrite(lake: Lake, table: str, layout: Layout, operation: str) -> DataFram
     if after.rows != before.rows:
         raise RuntimeError(f"{operation} of {table!r} changed the row count from {before.rows} to {after.rows}")
     line = (table, operation, after.version, after.rows, before.files, after.files, before.bytes, after.bytes)
-    return lake.spark.createDataFrame([line], METRICS_SCHEMA)
+    return local_frame(lake.spark, [line], METRICS_SCHEMA)
 
 
 def compact(lake: Lake, table: str, target_bytes: int = TARGET_FILE_BYTES, max_records: int = 0) -> DataFrame:

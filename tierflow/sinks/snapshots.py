@@ -17,7 +17,7 @@ from tierflow.runtime import delete_path, session_conf
 from tierflow.sinks import catalog
 from tierflow.sinks.lake import Lake, Snapshot, file_sizes, read_paths, read_snapshot
 
-TARGET_FILE_BYTES = 512 * 1024 * 1024
+TARGET_FILE_BYTES = 256 * 1024 * 1024
 Z_BITS = 6
 QUARANTINE_SUFFIX = "_quarantine"
 # Types whose text in a partition directory reads back as the same type.

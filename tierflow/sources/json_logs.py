@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ def date_from_path(path: Column | str, pattern: str = FILE_NAME_DATE, fmt: str =
     If the pattern has a group, the group holds the date.
     """
     column = F.col(path) if isinstance(path, str) else path
-    group = 1 if "(" in pattern.replace(r"\(", "") else 0
+    group = 1 if re.compile(pattern).groups else 0
     return F.try_to_date(F.regexp_extract(column, pattern, group), fmt)
 
 

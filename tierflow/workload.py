@@ -48,7 +48,6 @@ EVENT_MAPPING = {
     "signup": "ChildDuration",
 }
 EVENTS = LayerConfig(report_date=dt.date(2024, 2, 1), mapping=EVENT_MAPPING)
-EVENT_PERIOD = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 ORDER_REPORT_DATE = dt.date(2001, 8, 2)
 PRIORITY_TARGETS = {
     "UrgentCents": ["1-URGENT", "2-HIGH"],
@@ -301,9 +300,9 @@ def period_days(spark, sf_dir):
 @query("rfm_metrics_events", metrics_sql(BRONZE_SQL, "2024-02-01"))
 def rfm_metrics_events(spark, sf_dir):
     """One month of days: counted as bits."""
-    return rfm.rfm_metrics(
-        bronze_events(spark, sf_dir), "Contract", "Date", "TotalDuration", EVENTS.report_date, period=EVENT_PERIOD
-    )
+    rows = bronze_events(spark, sf_dir)
+    period = rfm.date_bounds(rows, "Date")
+    return rfm.rfm_metrics(rows, "Contract", "Date", "TotalDuration", EVENTS.report_date, period=period)
 
 
 @query("rfm_metrics_customers", metrics_sql(ORDERS_SQL, "2001-08-02"))
@@ -315,7 +314,7 @@ def rfm_metrics_customers(spark, sf_dir):
 @query("rfm_metrics_fixed_period", metrics_sql(BRONZE_SQL, "2024-02-01", total="30"))
 def rfm_metrics_fixed_period(spark, sf_dir):
     return rfm.rfm_metrics(
-        bronze_events(spark, sf_dir), "Contract", "Date", "TotalDuration", "20240201", total_days=30, period=EVENT_PERIOD
+        bronze_events(spark, sf_dir), "Contract", "Date", "TotalDuration", "20240201", total_days=30
     )
 
 
@@ -327,12 +326,13 @@ FROM ({BRONZE_SQL}) b GROUP BY "Contract"
 """,
 )
 def activeness(spark, sf_dir):
-    return rfm.activeness(bronze_events(spark, sf_dir), "Contract", "Date", period=EVENT_PERIOD)
+    return rfm.activeness(bronze_events(spark, sf_dir), "Contract", "Date")
 
 
 @query("rfm_scores_global", EVENT_SCORES_SQL)
 def rfm_scores_global(spark, sf_dir):
-    return layers.rfm_table(bronze_events(spark, sf_dir), EVENTS, EVENT_PERIOD)
+    rows = bronze_events(spark, sf_dir)
+    return layers.rfm_table(rows, EVENTS, rfm.date_bounds(rows, "Date"))
 
 
 @query("rfm_scores_exact", scores_sql(metrics_sql(ORDERS_SQL, "2001-08-02")))
@@ -377,17 +377,22 @@ def rfm_scores_within_key(spark, sf_dir):
 # Layers
 
 
+def event_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bronze_events(spark, sf_dir)
+    return layers.profile(rows, EVENTS, rfm.date_bounds(rows, "Date"))
+
+
 @query("gold_profile", GOLD_SQL)
 def gold_profile(spark, sf_dir):
     """Gold from one scan and one aggregation."""
-    return layers.gold_of(layers.profile(bronze_events(spark, sf_dir), EVENTS, EVENT_PERIOD), EVENTS)
+    return layers.gold_of(event_profile(spark, sf_dir), EVENTS)
 
 
 @query("gold_join", GOLD_SQL)
 def gold_join(spark, sf_dir):
     """Gold as the join of separately built silver and rfm tables."""
     rows = bronze_events(spark, sf_dir)
-    return layers.gold(layers.silver(rows, EVENTS), layers.rfm_table(rows, EVENTS, EVENT_PERIOD), EVENTS)
+    return layers.gold(layers.silver(rows, EVENTS), layers.rfm_table(rows, EVENTS), EVENTS)
 
 
 @query(
@@ -761,7 +766,7 @@ UNION ALL SELECT 'gold', count(*) FROM ({GOLD_SQL}) g
 def register_layers(spark, sf_dir):
     """Views rebuilt from the publish log alone, as in a new session, and queried by name."""
     lake = new_lake(spark)
-    profiled = layers.profile(bronze_events(spark, sf_dir), EVENTS, EVENT_PERIOD)
+    profiled = event_profile(spark, sf_dir)
     sink.publish(lake, layers.silver_of(profiled, EVENTS), "silver")
     sink.publish(lake, layers.gold_of(profiled, EVENTS), "gold")
     for name in ("silver", "gold"):
