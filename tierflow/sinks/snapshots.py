@@ -177,8 +177,12 @@ def publish(
     added = written.count()
     files, size = file_sizes(spark, [path])
     paths: tuple[str, ...] = (path,)
-    if append and current is not None:
-        paths = (*current.paths, path)
+    if append and current is not None and current.rows:
+        if added:
+            paths = (*current.paths, path)
+        else:
+            paths, files, size = current.paths, 0, 0
+            delete_path(spark, path)
         added, files, size = added + current.rows, files + current.files, size + current.bytes
     snapshot = Snapshot(
         table, version, operation or ("append" if append else "overwrite"), added, files, size, paths, partition_by,
