@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from tierflow.operators import RULES, ColumnRule, QualityError, TableRules, check, enforce
-from tierflow.operators.quality import failures, split
+from tierflow.operators.quality import audit, split
 from tierflow.runtime import scratch_path
 from tierflow.sinks import Lake, publish, read_snapshot
 
@@ -32,8 +32,8 @@ def test_report_is_one_scan(frame):
 
 def test_missing_and_wrongly_typed_columns_fail_every_row(spark):
     df = spark.createDataFrame([("a", "x")], "k string, s string")
-    assert failures(check(df, RULE)) == [("s", "type", 1)]
-    assert failures(check(df.drop("s"), RULE)) == [("s", "present", 1)]
+    assert audit(df, RULE).failures == [("s", "type", 1)]
+    assert audit(df.drop("s"), RULE).failures == [("s", "present", 1)]
     for policy in ("warn", "quarantine", "fail"):
         with pytest.raises(QualityError):
             enforce(df, RULE, policy)
@@ -43,7 +43,7 @@ def test_policies(frame):
     with pytest.raises(QualityError, match="in_range: 2 rows"):
         enforce(frame, RULE)
     kept, bad, found = enforce(frame, RULE, "warn")
-    assert kept is frame and bad is None and len(found) == 2
+    assert kept is frame and bad is None and len(found.failures) == 2 and found.rows == 5
     kept, bad, _ = enforce(frame, RULE, "quarantine")
     assert rows(kept) == sorted([("a", 1), ("c", None), ("d", 4)], key=str)
     assert rows(bad) == sorted([("b", 5, ["s:in_range"]), (None, 0, ["k:not_null", "s:in_range"])], key=str)
@@ -57,7 +57,10 @@ def test_split_is_a_partition_of_the_rows(frame):
 
 
 def test_empty_frame_passes(spark):
-    assert failures(check(spark.createDataFrame([], "k string, s int"), RULE)) == []
+    empty = spark.createDataFrame([], "k string, s int")
+    assert audit(empty, RULE).failures == [] and audit(empty, RULE).rows == 0
+    with pytest.raises(QualityError):
+        enforce(empty.drop("s"), RULE)
 
 
 def test_failed_audit_leaves_the_table_as_it_was(spark, frame):

@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE_ROWS_PER_CUT = 64
 
 
-def cut_leaf(value: Column, cuts: Sequence[Any], dtype: T.DataType, leaf: Callable[[int], int]) -> Column:
-    """``leaf(number of cuts <= value)`` as a balanced tree of comparisons.
+def with_rank(df: DataFrame, value: str, cuts: Sequence[Any], bits: int, alias: str) -> DataFrame:
+    """``df`` plus the number of ``cuts`` that are at most ``value``, found by a binary search of ``bits`` steps.
 
-    A row takes log2(cuts) comparisons and stays inside generated code. Null counts as smaller than every cut.
+    Each step is one small projection over a constant array, which generated code evaluates in place. There may be up to
+    ``2 ** bits - 1`` cuts. Null counts as smaller than every cut.
     """
-
-    def build(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(leaf(low)).cast("bigint")
-        middle = (low + high) // 2
-        at_least = value >= F.lit(cuts[middle]).cast(dtype)
-        return F.when(at_least, build(middle + 1, high)).otherwise(build(low, middle))
-
-    return build(0, len(cuts))
+    dtype = df.schema[value].dataType
+    slots = list(cuts) + [None] * ((1 << bits) - 1 - len(cuts))
+    table = F.array(*[F.lit(slot) for slot in slots]).cast(T.ArrayType(dtype))
+    ranked = df.withColumn(alias, F.lit(0))
+    for bit in reversed(range(bits)):
+        step = 1 << bit
+        passed = F.col(value) >= F.get(table, F.col(alias) + F.lit(step - 1))
+        ranked = ranked.withColumn(alias, F.when(passed, F.col(alias) + F.lit(step)).otherwise(F.col(alias)))
+    return ranked
 
 
 def sample_cuts(df: DataFrame, columns: Sequence[str], parts: int, rows: int) -> dict[str, list[Any]]:
@@ -57,20 +58,21 @@ def spread_bits(value: int, step: int, offset: int) -> int:
     return spread
 
 
-def z_value(df: DataFrame, cuts: dict[str, list[Any]]) -> Column:
-    """Bit-interleaved rank of several columns.
+def with_z_value(df: DataFrame, cuts: dict[str, list[Any]], bits: int, alias: str) -> DataFrame:
+    """``df`` plus the bit-interleaved rank of several columns.
 
-    Each column's tree carries its rank already spread to its own bit positions, so the interleaving costs one addition
-    per column at run time.
+    A rank is looked up in a table of its bits already spread to the column's own positions, so interleaving costs one
+    addition per column.
     """
-    step = len(cuts)
-    parts = [
-        cut_leaf(
-            F.col(column), values, df.schema[column].dataType, lambda rank, o=offset: spread_bits(rank, step, o)
-        )
-        for offset, (column, values) in enumerate(cuts.items())
-    ]
+    if bits * len(cuts) > 62:
+        raise ValueError(f"{len(cuts)} columns of {bits} bits do not fit one long")
+    ranked, parts = df, []
+    for offset, (column, values) in enumerate(cuts.items()):
+        rank = f"__rank{offset}"
+        ranked = with_rank(ranked, column, values, bits, rank)
+        spread = F.array(*[F.lit(spread_bits(i, len(cuts), offset)) for i in range(1 << bits)]).cast("array<bigint>")
+        parts.append(F.get(spread, F.col(rank)))
     total = parts[0]
     for part in parts[1:]:
         total = total + part
-    return total
+    return ranked.withColumn(alias, total).drop(*[f"__rank{i}" for i in range(len(cuts))])

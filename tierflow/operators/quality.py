@@ -130,24 +130,41 @@ def split(df: DataFrame, rules: TableRules) -> tuple[DataFrame, DataFrame]:
 POLICIES = ("fail", "quarantine", "warn")
 
 
-def failures(report: DataFrame) -> list[tuple[str, str, int]]:
-    """The broken rules of a report; one line per rule at most."""
-    return [(r["column"], r["rule"], r["failures"]) for r in report.filter("failures > 0").collect()]
+@dataclass(frozen=True)
+class Audit:
+    """Row count and broken rules of a checked table; one entry per rule at most."""
+
+    rows: int
+    failures: list[tuple[str, str, int]]
+
 
+def audit(df: DataFrame, rules: TableRules) -> Audit:
+    """Run a check; the driver receives one line per rule."""
+    lines = check(df, rules).collect()
+    broken = [(line["column"], line["rule"], line["failures"]) for line in lines if line["failures"]]
+    return Audit(lines[0]["rows"], broken)
 
-def enforce(df: DataFrame, rules: TableRules, policy: str = "fail") -> tuple[DataFrame, DataFrame | None, list]:
-    """Check a materialised frame and apply the policy: ``(rows to publish, quarantined rows or None, failures)``.
+
+def enforce(df: DataFrame, rules: TableRules, policy: str = "fail") -> tuple[DataFrame, DataFrame | None, Audit]:
+    """Check a materialised frame and apply the policy: ``(rows to publish, quarantined rows or None, audit)``.
 
     ``fail`` raises, ``quarantine`` sets the bad rows apart, ``warn`` keeps them. A column that is missing or has another
     type always raises: no row of such a table could be kept.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy {policy!r} is none of {POLICIES}")
-    found = failures(check(df, rules))
-    structural = [entry for entry in found if entry[1] in ("present", "type")]
-    if structural or (found and policy == "fail"):
-        raise QualityError(rules.table, structural or found)
-    if found and policy == "quarantine":
+    found = audit(df, rules)
+    structural = _structural(df, rules)
+    if structural or (found.failures and policy == "fail"):
+        raise QualityError(rules.table, found.failures or [(column, rule, found.rows) for column, rule in structural])
+    if found.failures and policy == "quarantine":
         valid, invalid = split(df, rules)
         return valid, invalid, found
     return df, None, found
+
+
+def _structural(df: DataFrame, rules: TableRules) -> list[tuple[str, str]]:
+    """Missing or wrongly typed columns, known without reading a row."""
+    types = {field.name: field.dataType for field in df.schema.fields}
+    missing = [(rule.name, "present") for rule in rules.columns if rule.name not in types]
+    return missing + [(r.name, "type") for r in rules.columns if r.name in types and types[r.name] != r.dtype]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from tierflow import schemas
@@ -56,9 +58,16 @@ def profile_bronze(lake: Lake, config: LayerConfig) -> tuple[DataFrame, str]:
 
 
 def silver_layer(lake: Lake, config: LayerConfig, profiled: DataFrame) -> None:
-    """Publish rfm and silver from a profile of the bronze table."""
-    publish(lake, layers.rfm_of(profiled, config), "rfm", rules=quality.RULES["rfm"], policy=config.policy)
-    publish(lake, layers.silver_of(profiled, config), "silver", rules=quality.RULES["silver"], policy=config.policy)
+    """Publish rfm and silver, side by side, from a profile of the bronze table."""
+    tables = {"rfm": layers.rfm_of(profiled, config), "silver": layers.silver_of(profiled, config)}
+
+    def write(name: str) -> Snapshot:
+        return publish(lake, tables[name], name, rules=quality.RULES[name], policy=config.policy)
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        started = [pool.submit(inheritable_thread_target(lake.spark)(write), name) for name in tables]
+        for future in started:
+            future.result()
 
 
 def gold_layer(lake: Lake, config: LayerConfig, profiled: DataFrame | None = None) -> Snapshot:

@@ -111,7 +111,7 @@ def describe_detail(lake: Lake, table: str) -> DataFrame:
     found = lake.snapshot(table)
     if found is None:
         raise LookupError(f"{table!r} has not been published")
-    return lake.log().filter((F.col("table") == table) & (F.col("version") == found.version)).drop("schema")
+    return lake.log(table).filter(F.col("version") == found.version).drop("schema")
 
 
 def describe_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

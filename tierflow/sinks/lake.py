@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -84,24 +85,32 @@ class Lake:
         return f"{self.base}/_publish_log"
 
     def table_root(self, table: str) -> str:
+        if not re.fullmatch(r"[A-Za-z][A-Za-z0-9_]*", table):
+            raise ValueError(f"{table!r} is not a plain table name")
         return f"{self.base}/{table}"
 
-    def log(self) -> DataFrame:
-        """The publish log; empty for a new lake."""
-        if not path_exists(self.spark, self.log_path):
+    def log(self, table: str | None = None) -> DataFrame:
+        """The publish log, of one table or of all; empty for a new lake.
+
+        Every table logs to its own folder, so tables can be published side by side.
+        """
+        folder = self.log_path if table is None else f"{self.log_path}/table={table}"
+        if not path_exists(self.spark, folder):
             return local_frame(self.spark, [], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
+        reader = self.spark.read.schema(LOG_SCHEMA).option("basePath", self.log_path)
+        return reader.parquet(folder).select(*LOG_SCHEMA.fieldNames())
 
     def append_log(self, snapshot: Snapshot) -> Snapshot:
         stamped = replace(snapshot, ts=snapshot.ts or dt.datetime.now(dt.timezone.utc))
-        local_frame(self.spark, [stamped.log_row()], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        line = local_frame(self.spark, [stamped.log_row()], LOG_SCHEMA).drop("table").coalesce(1)
+        line.write.mode("append").parquet(f"{self.log_path}/table={stamped.table}")
         return stamped
 
     def snapshot(
         self, table: str, version: int | None = None, as_of: dt.datetime | None = None
     ) -> Snapshot | None:
         """The latest snapshot, the one of a version, or the latest at a point in time; ``None`` if there is none."""
-        rows = self.log().filter(F.col("table") == table)
+        rows = self.log(table)
         if version is not None:
             rows = rows.filter(F.col("version") == version)
         if as_of is not None:

@@ -70,9 +70,7 @@ def expired_snapshots(
     lake: Lake, retention_days: float = 7, table: str | None = None, now: Column | dt.datetime | None = None
 ) -> DataFrame:
     """Snapshots older than the retention that are not their table's current one."""
-    log = lake.log()
-    if table is not None:
-        log = log.filter(F.col("table") == table)
+    log = lake.log(table)
     return snapshot_ages(log, now).filter(~F.col("current") & (F.col("age_days") > retention_days))
 
 
@@ -81,7 +79,7 @@ def expired_paths(
 ) -> DataFrame:
     """Directories that only expired snapshots use; a directory an unexpired snapshot still lists is kept."""
     expired = expired_snapshots(lake, retention_days, table, now).select("table", "version", "paths")
-    unexpired = lake.log().join(expired.select("table", "version"), ["table", "version"], "left_anti")
+    unexpired = lake.log(table).join(expired.select("table", "version"), ["table", "version"], "left_anti")
     in_use = unexpired.select("table", F.explode("paths").alias("path"))
     return expired.select("table", F.explode("paths").alias("path")).distinct().join(in_use, ["table", "path"], "left_anti")
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.functions.ordering import sample_cuts, z_value
+from tierflow.functions.ordering import sample_cuts, with_z_value
 from tierflow.operators import quality
 from tierflow.runtime import delete_path, session_conf
 from tierflow.sinks import catalog
@@ -49,10 +49,10 @@ def clustered(
     """
     names = list(columns)
     if len(names) == 1:
-        curve = F.col(names[0])
+        keyed = df.withColumn("__curve", F.col(names[0]))
     else:
-        curve = z_value(df, sample_cuts(df, names, 1 << bits, rows))
-    keyed = df.withColumn("__curve", curve).withColumn("__row", F.monotonically_increasing_id())
+        keyed = with_z_value(df, sample_cuts(df, names, 1 << bits, rows), bits, "__curve")
+    keyed = keyed.withColumn("__row", F.monotonically_increasing_id())
     order = [*partition_by, "__curve", *(names if len(names) > 1 else [])]
     return keyed.repartitionByRange(partitions, *order, "__row").sortWithinPartitions(*order).drop("__curve", "__row")
 
@@ -161,20 +161,22 @@ def publish(
         write_files(_aligned(df, schema), first, lake.format, partition_by, layout, rows, size)
 
     written = read_paths(spark, [first], schema, lake.format)
-    valid, invalid = written, None
+    valid, invalid, added = written, None, None
     if rules is not None:
-        valid, invalid, _ = quality.enforce(written, rules, policy)
+        valid, invalid, audit = quality.enforce(written, rules, policy)
+        added = audit.rows
     if invalid is not None:
         publish(lake, invalid, table + QUARANTINE_SUFFIX, evolve=True, partition_by=(), ts=ts)
     if staging or invalid is not None:
         if not staging:
             path = f"{path}-valid"
-        rows, size = written.count(), file_sizes(spark, [first])[1]
+        rows, size = added if added is not None else written.count(), file_sizes(spark, [first])[1]
         write_files(valid, path, lake.format, partition_by, layout, rows, size)
         delete_path(spark, first)
         written = read_paths(spark, [path], schema, lake.format)
 
-    added = written.count()
+    if added is None or invalid is not None:
+        added = written.count()
     files, size = file_sizes(spark, [path])
     paths: tuple[str, ...] = (path,)
     if append and current is not None and current.rows:
@@ -206,10 +208,7 @@ def delete_where(lake: Lake, table: str, predicate: Column | str | None = None,
 
 def history(lake: Lake, table: str | None = None) -> DataFrame:
     """The publish log, newest first, of one table or of all."""
-    log = lake.log()
-    if table is not None:
-        log = log.filter(F.col("table") == table)
-    return log.orderBy(F.col("table").asc(), F.col("version").desc())
+    return lake.log(table).orderBy(F.col("table").asc(), F.col("version").desc())
 
 
 def load_table(df: DataFrame, name: str, mode: str = "append") -> None:

@@ -326,7 +326,8 @@ FROM ({BRONZE_SQL}) b GROUP BY "Contract"
 """,
 )
 def activeness(spark, sf_dir):
-    return rfm.activeness(bronze_events(spark, sf_dir), "Contract", "Date")
+    rows = bronze_events(spark, sf_dir)
+    return rfm.activeness(rows, "Contract", "Date", period=rfm.date_bounds(rows, "Date"))
 
 
 @query("rfm_scores_global", EVENT_SCORES_SQL)
