@@ -1,46 +1,54 @@
-"""Position of a value among sorted cut points, as a plain column expression."""
+"""Position of values among sorted cut points: ranks, z-order curves and range partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.runtime import local_frame
+
+# Cut points only steer a layout, so they come from a sample whose size does not depend on the table.
 SAMPLE_ROWS_PER_CUT = 64
+MAX_SAMPLE_ROWS = 1_000_000
+MAX_BITS = 10
+
+
+def _sample(df: DataFrame, parts: int, rows: int) -> DataFrame:
+    """About ``SAMPLE_ROWS_PER_CUT`` rows per part, of a frame of ``rows`` rows."""
+    wanted = min(parts * SAMPLE_ROWS_PER_CUT, MAX_SAMPLE_ROWS)
+    return df if rows <= wanted else df.sample(fraction=wanted / rows, seed=7)
+
 
+def _constant(df: DataFrame, values: Sequence[Any], element: T.DataType) -> Column:
+    """An array of driver-side values, as a scalar subquery over a local relation."""
+    schema = T.StructType([T.StructField("values", T.ArrayType(element))])
+    return local_frame(df.sparkSession, [(list(values),)], schema).scalar()
 
-def with_rank(df: DataFrame, value: str, cuts: Sequence[Any], bits: int, alias: str) -> DataFrame:
-    """``df`` plus the number of ``cuts`` that are at most ``value``, found by a binary search of ``bits`` steps.
 
-    Each step is one small projection over a constant array, which generated code evaluates in place. There may be up to
-    ``2 ** bits - 1`` cuts. Null counts as smaller than every cut.
+def with_rank(df: DataFrame, value: str, cuts: Sequence[Any], alias: str) -> DataFrame:
+    """``df`` plus the number of ``cuts`` that are at most ``value``, found by binary search.
+
+    ``cuts`` ascend. Each step of the search is one small projection, which generated code evaluates in place; the steps
+    are the logarithm of the number of cuts. Null counts as smaller than every cut.
     """
-    dtype = df.schema[value].dataType
-    slots = list(cuts) + [None] * ((1 << bits) - 1 - len(cuts))
-    table = F.array(*[F.lit(slot) for slot in slots]).cast(T.ArrayType(dtype))
-    ranked = df.withColumn(alias, F.lit(0))
+    bits = len(cuts).bit_length()
+    slots = [*cuts, *[None] * ((1 << bits) - 1 - len(cuts))]
+    table = f"{alias}_cuts"
+    ranked = df.withColumn(table, _constant(df, slots, df.schema[value].dataType)).withColumn(alias, F.lit(0))
     for bit in reversed(range(bits)):
         step = 1 << bit
         passed = F.col(value) >= F.get(table, F.col(alias) + F.lit(step - 1))
         ranked = ranked.withColumn(alias, F.when(passed, F.col(alias) + F.lit(step)).otherwise(F.col(alias)))
-    return ranked
-
+    return ranked.drop(table)
 
-def sample_cuts(df: DataFrame, columns: Sequence[str], parts: int, rows: int) -> dict[str, list[Any]]:
-    """Approximate ``parts``-quantile cut points of each column, from one bounded sample.
 
-    ``rows`` is the row count of ``df``; the driver receives about ``parts * SAMPLE_ROWS_PER_CUT`` rows whatever it is.
-    Cut points only steer a layout, so a sample is enough here.
-    """
-    wanted = parts * SAMPLE_ROWS_PER_CUT
-    fraction = min(1.0, wanted / rows) if rows else 1.0
-    sample = df.select(*columns)
-    if fraction < 1.0:
-        sample = sample.sample(fraction=fraction, seed=7)
-    collected = sample.limit(4 * wanted).collect()
+def quantile_cuts(df: DataFrame, columns: Sequence[str], parts: int, rows: int) -> dict[str, list[Any]]:
+    """Approximate ``parts``-quantile cut points of each column, without repeats."""
+    collected = _sample(df.select(*columns), parts, rows).collect() if rows else []
     cuts: dict[str, list[Any]] = {}
     for column in columns:
         values = sorted(row[column] for row in collected if row[column] is not None)
@@ -58,21 +66,62 @@ def spread_bits(value: int, step: int, offset: int) -> int:
     return spread
 
 
-def with_z_value(df: DataFrame, cuts: dict[str, list[Any]], bits: int, alias: str) -> DataFrame:
-    """``df`` plus the bit-interleaved rank of several columns.
+def curve_bits(columns: int, partitions: int) -> int:
+    """Bits per column so that the curve has several cells per partition."""
+    cells = (16 * partitions).bit_length()
+    return max(4, min(MAX_BITS, 62 // columns, -(-cells // columns)))
+
+
+def with_z_value(df: DataFrame, columns: Sequence[str], bits: int, rows: int, alias: str) -> DataFrame:
+    """``df`` plus the bit-interleaved rank of several columns, ``bits`` per column.
 
     A rank is looked up in a table of its bits already spread to the column's own positions, so interleaving costs one
     addition per column.
     """
-    if bits * len(cuts) > 62:
-        raise ValueError(f"{len(cuts)} columns of {bits} bits do not fit one long")
-    ranked, parts = df, []
-    for offset, (column, values) in enumerate(cuts.items()):
-        rank = f"__rank{offset}"
-        ranked = with_rank(ranked, column, values, bits, rank)
-        spread = F.array(*[F.lit(spread_bits(i, len(cuts), offset)) for i in range(1 << bits)]).cast("array<bigint>")
-        parts.append(F.get(spread, F.col(rank)))
-    total = parts[0]
-    for part in parts[1:]:
-        total = total + part
-    return ranked.withColumn(alias, total).drop(*[f"__rank{i}" for i in range(len(cuts))])
+    if bits > MAX_BITS or bits * len(columns) > 62:
+        raise ValueError(f"{len(columns)} columns of {bits} bits: at most {MAX_BITS} bits each and 62 in all")
+    ranked, names = df, []
+    for offset, (column, values) in enumerate(quantile_cuts(df, columns, 1 << bits, rows).items()):
+        names += [f"{alias}_rank{offset}", f"{alias}_bits{offset}"]
+        ranked = with_rank(ranked, column, values, names[-2])
+        spread = [spread_bits(rank, len(columns), offset) for rank in range(1 << bits)]
+        ranked = ranked.withColumn(names[-1], F.get(_constant(df, spread, T.LongType()), F.col(names[-2])))
+    total = F.col(names[1])
+    for name in names[3::2]:
+        total = total + F.col(name)
+    return ranked.withColumn(alias, F.coalesce(total, F.lit(0).cast("bigint"))).drop(*names)
+
+
+def with_range_id(df: DataFrame, order: Sequence[str], partitions: int, rows: int, row_id: str, alias: str) -> DataFrame:
+    """``df`` plus the number of the range partition each row belongs to, by the ``order`` columns.
+
+    Only the ``order`` columns are read to find the bounds. A value that fills several partitions is several bounds in a
+    row; its rows are dealt out over those partitions by ``row_id``, a number that repeats when a task is run again.
+    """
+    if len(order) == 1 and not df.schema[order[0]].nullable:
+        key = F.col(order[0])
+    else:  # a struct is never null itself, and orders null fields first
+        key = F.struct(*[F.col(name).alias(f"k{i}") for i, name in enumerate(order)])
+    sampled = _sample(df.select(key.alias("k")), partitions, rows).orderBy("k").collect()
+    bounds: list[Any] = []
+    below = [0]  # bounds up to and including the n-th distinct one
+    for index in range(1, partitions):
+        if not sampled:
+            break
+        bound = sampled[len(sampled) * index // partitions]["k"]
+        if bounds and repr(bounds[-1]) == repr(bound):
+            below[-1] += 1
+        else:
+            bounds.append(bound)
+            below.append(below[-1] + 1)
+    ranked = with_rank(df.withColumn(f"{alias}_key", key), f"{alias}_key", bounds, f"{alias}_rank")
+    names = [f"{alias}_{part}" for part in ("key", "rank", "bounds", "below", "upper", "lower")]
+    key_name, rank, bounds_name, below_name, upper, lower = names
+    key_type = ranked.schema[key_name].dataType
+    ranked = ranked.withColumn(bounds_name, _constant(df, bounds, key_type))
+    ranked = ranked.withColumn(below_name, _constant(df, below, T.IntegerType()))
+    on_bound = F.col(key_name) == F.get(bounds_name, F.col(rank) - 1)
+    ranked = ranked.withColumn(upper, F.get(below_name, F.col(rank)))
+    ranked = ranked.withColumn(lower, F.when(on_bound, F.get(below_name, F.col(rank) - 1)).otherwise(F.col(upper)))
+    dealt = F.pmod(F.col(row_id), F.greatest(F.col(upper) - F.col(lower), F.lit(1)))
+    return ranked.withColumn(alias, (F.col(lower) + dealt).cast("int")).drop(*names)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tierflow.runtime import delete_path, local_frame
 from tierflow.sinks.lake import Lake, Snapshot, read_snapshot
-from tierflow.sinks.snapshots import TARGET_FILE_BYTES, Z_BITS, Layout, publish
+from tierflow.sinks.snapshots import TARGET_FILE_BYTES, Layout, publish
 
 METRICS_SCHEMA = T.StructType(
     [
@@ -46,7 +46,7 @@ def compact(lake: Lake, table: str, target_bytes: int = TARGET_FILE_BYTES, max_r
 
 
 def zorder(
-    lake: Lake, table: str, columns: Sequence[str] | str, target_bytes: int = TARGET_FILE_BYTES, bits: int = Z_BITS
+    lake: Lake, table: str, columns: Sequence[str] | str, target_bytes: int = TARGET_FILE_BYTES, bits: int = 0
 ) -> DataFrame:
     """Rewrite a table clustered by the columns; one row of metrics, before and after."""
     names = (columns,) if isinstance(columns, str) else tuple(columns)

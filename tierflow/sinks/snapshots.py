@@ -11,14 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.functions.ordering import sample_cuts, with_z_value
+from tierflow.functions.ordering import curve_bits, with_range_id, with_z_value
 from tierflow.operators import quality
 from tierflow.runtime import delete_path, session_conf
 from tierflow.sinks import catalog
 from tierflow.sinks.lake import Lake, Snapshot, file_sizes, read_paths, read_snapshot
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-Z_BITS = 6
 QUARANTINE_SUFFIX = "_quarantine"
 # Types whose text in a partition directory reads back as the same type.
 PARTITION_TYPES = (T.DateType, T.IntegerType, T.LongType)
@@ -36,25 +35,31 @@ class Layout:
     cluster_by: tuple[str, ...] = ()
     target_bytes: int = TARGET_FILE_BYTES
     max_records: int = 0
-    bits: int = Z_BITS
+    bits: int = 0
 
 
 def clustered(
-    df: DataFrame, columns: Sequence[str], partitions: int, rows: int, partition_by: Sequence[str] = (), bits: int = Z_BITS
+    df: DataFrame, columns: Sequence[str], partitions: int, rows: int, partition_by: Sequence[str] = (), bits: int = 0
 ) -> DataFrame:
     """``df`` range-partitioned and sorted along the columns. ``df`` must be a scan of stored files.
 
-    The row's position in the scan ends the sort key: it is unique and repeats when a task is run again, so a value held
-    by a large share of the rows is split over as many partitions as its size needs.
+    The bounds come from a scan of just these columns, so the whole rows are read once, by the shuffle. The row's position
+    in the scan spreads a value held by a large share of the rows over as many partitions as its size needs. ``bits`` per
+    column of the z-order curve default to what the number of partitions needs.
     """
     names = list(columns)
     if len(names) == 1:
-        keyed = df.withColumn("__curve", F.col(names[0]))
+        keyed, order = df, [*partition_by, *names]
     else:
-        keyed = with_z_value(df, sample_cuts(df, names, 1 << bits, rows), bits, "__curve")
-    keyed = keyed.withColumn("__row", F.monotonically_increasing_id())
-    order = [*partition_by, "__curve", *(names if len(names) > 1 else [])]
-    return keyed.repartitionByRange(partitions, *order, "__row").sortWithinPartitions(*order).drop("__curve", "__row")
+        bits = bits or curve_bits(len(names), partitions)
+        keyed, order = with_z_value(df, names, bits, rows, "__curve"), [*partition_by, "__curve"]
+    if partitions == 1:
+        placed = keyed.repartition(1)
+    else:
+        keyed = keyed.withColumn("__row", F.monotonically_increasing_id())
+        keyed = with_range_id(keyed, order, partitions, rows, "__row", "__part")
+        placed = keyed.repartitionById(partitions, "__part")
+    return placed.sortWithinPartitions(*order, *(names if len(names) > 1 else [])).select(*df.columns)
 
 
 def write_files(
