@@ -29,21 +29,25 @@ def _constant(df: DataFrame, values: Sequence[Any], element: T.DataType) -> Colu
     return local_frame(df.sparkSession, [(list(values),)], schema).scalar()
 
 
-def with_rank(df: DataFrame, value: str, cuts: Sequence[Any], alias: str) -> DataFrame:
-    """``df`` plus the number of ``cuts`` that are at most ``value``, found by binary search.
+def with_rank_in(df: DataFrame, value: str, table: str, longest: int, alias: str) -> DataFrame:
+    """``df`` plus the number of entries of the ascending array column ``table`` that are at most ``value``.
 
-    ``cuts`` ascend. Each step of the search is one small projection, which generated code evaluates in place; the steps
-    are the logarithm of the number of cuts. Null counts as smaller than every cut.
+    A binary search over at most ``longest`` entries. Each step is one small projection, which generated code evaluates in
+    place, and an entry beyond the array's end reads as null, which no value passes. A null value has rank 0.
     """
-    bits = len(cuts).bit_length()
-    slots = [*cuts, *[None] * ((1 << bits) - 1 - len(cuts))]
-    table = f"{alias}_cuts"
-    ranked = df.withColumn(table, _constant(df, slots, df.schema[value].dataType)).withColumn(alias, F.lit(0))
-    for bit in reversed(range(bits)):
+    ranked = df.withColumn(alias, F.lit(0))
+    for bit in reversed(range(longest.bit_length())):
         step = 1 << bit
         passed = F.col(value) >= F.get(table, F.col(alias) + F.lit(step - 1))
         ranked = ranked.withColumn(alias, F.when(passed, F.col(alias) + F.lit(step)).otherwise(F.col(alias)))
-    return ranked.drop(table)
+    return ranked
+
+
+def with_rank(df: DataFrame, value: str, cuts: Sequence[Any], alias: str) -> DataFrame:
+    """``df`` plus the number of driver-side ``cuts``, ascending, that are at most ``value``."""
+    table = f"{alias}_cuts"
+    ranked = df.withColumn(table, _constant(df, cuts, df.schema[value].dataType))
+    return with_rank_in(ranked, value, table, len(cuts), alias).drop(table)
 
 
 def quantile_cuts(df: DataFrame, columns: Sequence[str], parts: int, rows: int) -> dict[str, list[Any]]:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.functions.ordering import with_rank_in
 from tierflow.runtime import local_frame
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -73,6 +74,7 @@ class _Range:
     rows: int
     wanted: dict[int, int] = field(default_factory=dict)  # bucket number -> rank within the range
     stalled: int = 0  # rounds without a split
+    place: tuple[int, ...] = ()  # bin taken in each round; sorts the ranges of a group
 
 
 def _bucket_ends(rows: int, buckets: int) -> dict[int, int]:
@@ -101,24 +103,23 @@ def _below(x: Column) -> Callable[[Column], Column]:
 
 
 class _GroupTable:
-    """Small per-group arrays from the driver, attached to rows by group.
+    """One small driver-side entry per group, attached to the rows of the group.
 
-    Ungrouped rows take the array from a one-row scalar subquery. Grouped rows join a table of the groups that exceed one
+    Ungrouped rows take the entry from a one-row scalar subquery. Grouped rows join a table of the groups that exceed one
     task: there are at most rows / MAX_ROWS_PER_TASK of them, which bounds the broadcast.
     """
 
     def __init__(self, df: DataFrame, groups: Sequence[str], entry: T.StructType):
         self.df, self.groups, self.entry = df, list(groups), entry
 
-    def attach(self, per_group: Mapping[tuple, list[tuple]], name: str) -> DataFrame:
+    def attach(self, per_group: Mapping[tuple, tuple], name: str) -> DataFrame:
         spark = self.df.sparkSession
-        array = T.ArrayType(self.entry)
         if not self.groups:
-            only = local_frame(spark, [(per_group[()],)], T.StructType([T.StructField(name, array)]))
+            only = local_frame(spark, [(per_group[()],)], T.StructType([T.StructField(name, self.entry)]))
             return self.df.withColumn(name, only.scalar())
         fields = [T.StructField(f"__g{i}", self.df.schema[g].dataType) for i, g in enumerate(self.groups)]
-        rows = [(*group, entries) for group, entries in per_group.items()]
-        table = local_frame(spark, rows, T.StructType([*fields, T.StructField(name, array)]))
+        rows = [(*group, entry) for group, entry in per_group.items()]
+        table = local_frame(spark, rows, T.StructType([*fields, T.StructField(name, self.entry)]))
         condition = reduce(
             lambda a, b: a & b, [self.df[g].eqNullSafe(table[f"__g{i}"]) for i, g in enumerate(self.groups)]
         )
@@ -139,33 +140,47 @@ def _select_bucket_ends(
 ) -> dict[tuple, list[Row]]:
     """The row that ends each bucket, per group. ``rows`` has the group columns and ``x``, the struct (value, key)."""
     ranges = [_Range(group, None, None, count, _bucket_ends(count, buckets)) for group, count in sizes.items()]
-    range_type = T.StructType(
+    part_type = T.StructType(
         [
             T.StructField("id", T.IntegerType()),
-            T.StructField("low", order_type),
             T.StructField("high", order_type),
             T.StructField("keep", T.LongType()),
             T.StructField("cuts", T.ArrayType(order_type)),
             T.StructField("ranks", T.ArrayType(T.LongType())),
         ]
     )
-    table = _GroupTable(rows, groups, range_type)
+    # The ranges of a group do not overlap. Sorted, they are found by a binary search of their lower ends.
+    entry_type = T.StructType(
+        [
+            T.StructField("shift", T.IntegerType()),
+            T.StructField("lows", T.ArrayType(order_type)),
+            T.StructField("parts", T.ArrayType(part_type)),
+        ]
+    )
+    table = _GroupTable(rows, groups, entry_type)
     hash_space = 1 << 40
 
-    def in_range(entry: Column) -> Column:
-        # A null bound is open. The comparison of structs orders null fields first, as the window does.
-        above = entry["low"].isNull() | (F.col("x") >= entry["low"])
-        below = entry["high"].isNull() | (F.col("x") < entry["high"])
-        return above & below
+    def located(active: Sequence[_Range], extra: Callable[[_Range], tuple]) -> DataFrame:
+        """Rows ``x`` of the active ranges with the fields of their range; a row belongs to one range at most.
 
-    def located(active: Sequence[_Range], extra) -> DataFrame:
-        """Rows of the active ranges with their range entry ``r``; a row belongs to one range at most."""
-        per_group: dict[tuple, list[tuple]] = {group: [] for group in sizes}
+        The comparison of structs orders null fields first, as the window does.
+        """
+        by_group: dict[tuple, list[tuple[int, _Range]]] = {group: [] for group in sizes}
         for index, part in enumerate(active):
-            per_group[part.group].append((index, part.low, part.high, *extra(part)))
-        attached = table.attach(per_group, "__ranges")
-        found = F.get(F.filter("__ranges", in_range), F.lit(0))
-        return attached.select("x", found.alias("r")).filter(F.col("r").isNotNull())
+            by_group[part.group].append((index, part))
+        per_group = {}
+        for group, parts in by_group.items():
+            parts.sort(key=lambda entry: entry[1].place)
+            open_start = bool(parts) and parts[0][1].low is None
+            lows = [part.low for _, part in parts if part.low is not None]
+            per_group[group] = (0 if open_start else -1, lows, [(i, part.high, *extra(part)) for i, part in parts])
+        attached = table.attach(per_group, "__entry").withColumn("__lows", F.col("__entry.lows"))
+        longest = max(len(entry[1]) for entry in per_group.values())
+        ranked = with_rank_in(attached, "x", "__lows", longest, "__rank")
+        found = F.get("__entry.parts", F.col("__rank") + F.col("__entry.shift"))
+        inside = F.col("part.high").isNull() | (F.col("x") < F.col("part.high"))
+        matched = ranked.select("x", found.alias("part")).filter(F.col("part").isNotNull() & inside)
+        return matched.select("x", *[F.col(f"part.{name}").alias(name) for name in ("id", "keep", "cuts", "ranks")])
 
     small = [part for part in ranges if part.rows <= limit]
     large = [part for part in ranges if part.rows > limit]
@@ -185,8 +200,8 @@ def _select_bucket_ends(
             return (int(share * hash_space), [], [])
 
         draw = F.pmod(F.xxhash64("x", F.lit(round_number)), F.lit(hash_space))
-        sampled = located(large, sampling).filter(draw < F.col("r.keep"))
-        ordered = sampled.groupBy(F.col("r.id").alias("id")).agg(F.sort_array(F.collect_list("x")).alias("xs"))
+        sampled = located(large, sampling).filter(draw < F.col("keep"))
+        ordered = sampled.groupBy("id").agg(F.sort_array(F.collect_list("x")).alias("xs"))
         cuts: dict[int, list[Row]] = {}
         for row in ordered.collect():
             parts = cut_count(large[row["id"]])
@@ -198,12 +213,8 @@ def _select_bucket_ends(
         def cutting(part: _Range) -> tuple:
             return (0, [tuple(cut) for cut in cuts.get(index_of[id(part)], [])], [])
 
-        counted = (
-            located(large, cutting)
-            .select(F.col("r.id").alias("id"), F.size(F.filter("r.cuts", lambda cut: cut <= F.col("x"))).alias("bin"))
-            .groupBy("id", "bin")
-            .count()
-        )
+        longest = max((len(row) for row in cuts.values()), default=0)
+        counted = with_rank_in(located(large, cutting), "x", "cuts", longest, "bin").groupBy("id", "bin").count()
         histogram: dict[int, dict[int, int]] = {}
         for row in counted.collect():
             histogram.setdefault(row["id"], {})[row["bin"]] = row["count"]
@@ -217,7 +228,8 @@ def _select_bucket_ends(
                 inside = {b: rank - before for b, rank in part.wanted.items() if before < rank <= before + count}
                 if inside:
                     stalled = part.stalled + 1 if count == part.rows else 0
-                    narrowed.append(_Range(part.group, edges[position], edges[position + 1], count, inside, stalled))
+                    ends, place = (edges[position], edges[position + 1]), (*part.place, position)
+                    narrowed.append(_Range(part.group, *ends, count, inside, stalled, place))
                 before += count
         small += [part for part in narrowed if part.rows <= limit]
         large = [part for part in narrowed if part.rows > limit]
@@ -225,10 +237,9 @@ def _select_bucket_ends(
     def ranking(part: _Range) -> tuple:
         return (0, [], sorted(set(part.wanted.values())))
 
-    numbered = located(small, ranking).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("r.id").orderBy("x")).cast("bigint")
-    )
-    ends = numbered.filter(F.array_contains("r.ranks", F.col("rank"))).select(F.col("r.id").alias("id"), "rank", "x")
+    position = F.row_number().over(Window.partitionBy("id").orderBy("x")).cast("bigint")
+    numbered = located(small, ranking).select("id", "x", "ranks").withColumn("rank", position)
+    ends = numbered.filter(F.array_contains("ranks", F.col("rank"))).select("id", "rank", "x")
     at = {(row["id"], row["rank"]): row["x"] for row in ends.collect()}
     found: dict[tuple, dict[int, Row]] = {group: {} for group in sizes}
     for index, part in enumerate(small):
@@ -287,11 +298,11 @@ def ntiles_exact(
 
     # One entry per hot group: for each output the array of its bucket ends.
     entry = T.StructType([T.StructField(f"e{i}", T.ArrayType(types[alias])) for i, alias in enumerate(values)])
-    per_group = {group: [tuple([tuple(row) for row in ends[alias][group]] for alias in values)] for group in hot}
+    per_group = {group: tuple([tuple(row) for row in ends[alias][group]] for alias in values) for group in hot}
     attached = _GroupTable(df, groups, entry).attach(per_group, "__ends")
     outputs = []
     for i, alias in enumerate(values):
-        passed = F.filter(F.get("__ends", F.lit(0))[f"e{i}"], _below(orders[alias]))
+        passed = F.filter(F.col(f"__ends.e{i}"), _below(orders[alias]))
         outputs.append((F.size(passed) + 1).cast("int").alias(alias))
     bucketed = attached.select(*df.columns, *outputs)
     fields = [T.StructField(f"__g{i}", df.schema[g].dataType) for i, g in enumerate(groups)]
