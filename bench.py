@@ -72,7 +72,7 @@ def seconds(build, repeat):
 def headline():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     spark = session(cpus)
     times = {name: seconds(lambda n=name: workload.QUERIES[n](spark, sf_dir), repeat) for name in HEADLINE}
     clear_scratch(spark)

@@ -108,3 +108,20 @@ def test_run_twice_gives_the_same_tables(spark, folder):
     first = rows(run(lake, folder, config, cluster=False))
     assert rows(run(lake, folder, config)) == first
     assert lake.snapshot("gold").version == 2
+
+
+def test_command_line(spark, folder, monkeypatch):
+    from tierflow import __main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    monkeypatch.setattr(cli, "clear_scratch", lambda session: None)
+    root = scratch_path(spark, "lake")
+    base = ["--lake", root, "--database", "cli"]
+    cli.main([*base, "create"])
+    assert spark.table("cli.gold").count() == 0
+    cli.main([*base, "run", "--raw", folder, "--report-date", "2022-05-01", "--population", "usable", "--total-days", "30"])
+    assert spark.table("cli.gold").count() == 3
+    cli.main([*base, "vacuum", "gold", "--retention-days", "0"])
+    assert read_snapshot(Lake(spark, root), "gold").count() == 3
+    with pytest.raises(LookupError):
+        read_snapshot(Lake(spark, root), "gold", version=1)

@@ -277,3 +277,16 @@ def test_describe(spark, lake, days):
     catalog.use_database(spark, lake.database)
     assert catalog.register_temp_view(spark.table("t"), "t_view").count() == spark.table("t_view").count()
     catalog.use_database(spark, "default")
+
+
+def test_orc_lake(spark, days):
+    lake = Lake(spark, scratch_path(spark, "lake"), f"db{next(NUMBERS)}", format="orc")
+    publish(lake, days, "t", partition_by=["Date"])
+    compact(lake, "t")
+    same(read_snapshot(lake, "t"), days)
+    same(spark.table(f"{lake.database}.t"), days)
+
+
+def test_table_names_are_checked(lake, days):
+    with pytest.raises(ValueError, match="plain table name"):
+        publish(lake, days, "../t")
