@@ -224,6 +224,19 @@ def test_rows_are_sorted_inside_the_files_of_a_partitioned_table(spark, lake, da
     assert len(by_file) == 4 and all(values == sorted(values) for values in by_file.values())
 
 
+def test_zorder_of_a_partitioned_table(spark, lake):
+    df = spark.range(20_000).select(
+        F.col("id"), F.pmod(F.xxhash64("id"), F.lit(500)).alias("a"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(500)).alias("b"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5).cast("int")).alias("Date"),
+    )
+    publish(lake, df, "t", partition_by=["Date"])
+    metrics = zorder(lake, "t", ["a", "b"], target_bytes=lake.snapshot("t").bytes // 10).first()
+    assert metrics["rows"] == 20_000 and 10 <= metrics["files_after"] <= 15
+    same(read_snapshot(lake, "t"), df)
+    ranges = file_ranges(spark, lake.snapshot("t").paths[0], "a")
+    assert max(r["rows"] for r in ranges) < 2.5 * 20_000 / 10
+
+
 def test_metrics_as_json(lake, days):
     publish(lake, days, "t")
     assert '"operation":"compact"' in metrics_json(compact(lake, "t")).first()[0]

@@ -140,6 +140,16 @@ def test_gold_from_profile_equals_join(edge):
     assert rows(layers.rfm_of(layers.profile(edge, CONFIG), CONFIG)) == rows_of(*RFM_ROWS)
 
 
+def test_usable_population_is_the_same_in_both_forms(edge):
+    config = replace(CONFIG, population="usable")
+    profiled = layers.profile(edge, config, rfm.date_bounds(edge, "Date"))
+    assert rows(layers.silver_of(profiled, config)) == rows(layers.silver(edge, config))
+    assert rows(layers.rfm_of(profiled, config)) == rows(layers.rfm_table(edge, config))
+    joined = layers.gold(layers.silver(edge, config), layers.rfm_table(edge, config), config)
+    assert rows(layers.gold_of(profiled, config)) == rows(joined)
+    assert sorted(r["Contract"] for r in layers.rfm_of(profiled, config).collect()) == ["a", "b", "d"]
+
+
 def test_conditional_pivot_keeps_every_key(edge):
     out = conditional_pivot(edge.filter("Contract IS NOT NULL"), "Contract", "AppName", "TotalDuration", CONFIG.targets)
     assert rows(out) == rows_of(

@@ -34,11 +34,13 @@ def ranked_columns(config: LayerConfig) -> list[Column]:
 
 def silver(rows: DataFrame, config: LayerConfig) -> DataFrame:
     """Measure per key and category, with the three largest categories."""
-    pivoted = category_pivot(categorized(rows, config), config.key, "Type", config.measure, config.columns)
+    chosen = categorized(_population(rows, config), config)
+    pivoted = category_pivot(chosen, config.key, "Type", config.measure, config.columns)
     return pivoted.select(config.key, *config.columns, *ranked_columns(config))
 
 
-def _scoring_rows(rows: DataFrame, config: LayerConfig) -> DataFrame:
+def _population(rows: DataFrame, config: LayerConfig) -> DataFrame:
+    """All rows, or only those with a real key and a positive measure."""
     if config.population == "all":
         return rows
     present = F.col(config.key) != F.lit("")
@@ -48,7 +50,7 @@ def _scoring_rows(rows: DataFrame, config: LayerConfig) -> DataFrame:
 def rfm_table(rows: DataFrame, config: LayerConfig, period: rfm.Period | None = None) -> DataFrame:
     """Metrics and scores per key. The metrics are written once: scoring reads them several times."""
     metrics = rfm.rfm_metrics(
-        _scoring_rows(rows, config), config.key, config.date, config.measure, config.report_date, config.total_days, period
+        _population(rows, config), config.key, config.date, config.measure, config.report_date, config.total_days, period
     )
     return score(materialize(metrics, "rfm"), config)
 
@@ -74,10 +76,10 @@ def gold(silver_table: DataFrame, rfm_scores: DataFrame, config: LayerConfig) ->
 def summary(rows: DataFrame, config: LayerConfig, period: rfm.Period | None = None) -> DataFrame:
     """Everything silver, rfm and gold need, in one scan and one aggregation by key.
 
-    Scoring looks at all rows and the pivot at the usable ones, so the pivot sums carry that condition themselves and
+    Scoring looks at the whole population and the pivot at the usable rows, so the pivot sums carry that condition themselves and
     ``usable`` counts the rows that met it. The group of the null key stays: its dates belong to the period.
     """
-    typed = _scoring_rows(rows, config).select(
+    typed = _population(rows, config).select(
         config.key,
         config.date,
         config.measure,
@@ -109,7 +111,7 @@ def metrics_of(summed: DataFrame, rows: DataFrame, config: LayerConfig) -> DataF
         total = summed.agg(days_in_words([F.bit_or(word) for word in words]).alias("n")).scalar()
     else:
         # One number, and the profile is read several times: count it once instead of in every plan.
-        total = F.lit(rfm.period_days(_scoring_rows(rows, config), config.date).first()[0])
+        total = F.lit(rfm.period_days(_population(rows, config), config.date).first()[0])
     return summed.filter(F.col(config.key).isNotNull()).select(
         "*",
         F.datediff(F.lit(rfm.as_date(config.report_date)), F.col("__latest")).alias(rfm.METRICS[0]),

@@ -218,7 +218,7 @@ def recode_by_table(spark, sf_dir):
 def date_range_scan(spark, sf_dir):
     """Range read of a table partitioned by date."""
     path = scratch_path(spark, "by-date")
-    sink.write_files(bronze_events(spark, sf_dir), path, partition_by=["Date"])
+    sink.write_files(bronze_events(spark, sf_dir), path, partition_by=["Date"], layout=sink.Layout(compact=True))
     return read_date_range(spark, path, "2024-01-05", "2024-01-12").select(*schemas.BRONZE.fieldNames())
 
 
@@ -781,7 +781,12 @@ def register_layers(spark, sf_dir):
     )
 
 
-@query("describe_layers")
+GOLD_COLUMNS_SQL = "SELECT * FROM (VALUES {}) c(col_name, data_type)".format(
+    ", ".join(f"('{f.name}', '{f.dataType.simpleString()}')" for f in schemas.GOLD.fields)
+)
+
+
+@query("describe_layers", GOLD_COLUMNS_SQL)
 def describe_layers(spark, sf_dir):
     """Columns of the published gold table as the catalog shows them."""
     lake = new_lake(spark)
