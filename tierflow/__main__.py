@@ -40,8 +40,10 @@ def main(arguments: list[str] | None = None) -> None:
             report_date=chosen.report_date, total_days=chosen.total_days, policy=chosen.policy,
             population=chosen.population,
         )
-        run(lake, chosen.raw, config)
-        clear_scratch(spark)
+        try:
+            run(lake, chosen.raw, config)
+        finally:
+            clear_scratch(spark)
 
 
 if __name__ == "__main__":
