@@ -1,0 +1,16 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def middle():
+    return "/root/testdata/sf0.01"
