@@ -31,6 +31,8 @@ NAMES = (
     "uppercase", "digits", "stops", "bars", "symbols", "foreign", "lines", "distinct_lines", "line_length", "bytes",
 )
 THRESHOLD = 0.3
+#: Rates count as if a text went on for so long without the thing counted, so that one number in a short text is not a high rate.
+PRIOR_BYTES, PRIOR_WORDS, PRIOR_LINES = 100, 10, 3
 
 _CLASSES = np.zeros(256, dtype=np.int64)
 for _class, _bytes in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,", b"|", b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{}~", bytes(range(128, 256)), b"\n"), 1):
@@ -41,13 +43,13 @@ _NOT_BREAK = np.ones(256, dtype=bool)
 _NOT_BREAK[ord("\n")] = False
 
 
-def _distinct_share(hashes: np.ndarray, rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Distinct values per row divided by the row's number of values."""
+def _distinct_share(hashes: np.ndarray, rows: np.ndarray, counts: np.ndarray, prior: int) -> np.ndarray:
+    """Distinct values per row divided by the row's number of values, drawn towards 1 where there are few."""
     order = np.lexsort((hashes, rows))
     h, r = hashes[order], rows[order]
     new = np.ones(len(h), dtype=bool)
     new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
-    return np.bincount(r[new], minlength=len(counts)) / np.maximum(counts, 1)
+    return (np.bincount(r[new], minlength=len(counts)) + prior) / (counts + prior)
 
 
 def _chunk_statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -66,17 +68,17 @@ def _chunk_statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     line_starts, line_ends, line_at = packed.word_spans(data, offsets, _NOT_BREAK)
     lines = np.bincount(line_at, minlength=n)
     line_hashes = packed.span_hashes(data, line_starts, line_ends)
-    rate = np.sqrt(kinds / np.maximum(size, 1)[:, None])
+    rate = np.sqrt(kinds / (size + PRIOR_BYTES)[:, None])
 
     def share(flags):
-        return np.bincount(at, flags, n) / per_word
+        return np.bincount(at, flags, n) / (words + PRIOR_WORDS)
 
     columns = (
         np.log1p(words), np.log1p(mean), np.log1p(np.sqrt(np.maximum(square - mean**2, 0))),
-        _distinct_share(packed.span_hashes(data, starts, ends), at, words), share(length <= 3),
+        _distinct_share(packed.span_hashes(data, starts, ends), at, words, PRIOR_WORDS), share(length <= 3),
         np.sqrt(share(_CLASSES[data[starts]] == 1)), np.sqrt(share(_ODD_END[data[ends - 1]])), np.log1p(longest),
         rate[:, 1], rate[:, 2], rate[:, 3], rate[:, 4], rate[:, 5], rate[:, 6], rate[:, 7],
-        _distinct_share(line_hashes, line_at, lines), np.log1p(np.bincount(line_at, (line_ends - line_starts).astype(float), n) / np.maximum(lines, 1)),
+        _distinct_share(line_hashes, line_at, lines, PRIOR_LINES), np.log1p(np.bincount(line_at, (line_ends - line_starts).astype(float), n) / np.maximum(lines, 1)),
         np.log1p(size),
     )
     return np.column_stack(columns)
