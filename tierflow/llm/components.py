@@ -7,6 +7,7 @@ number of rounds grows with the logarithm of the longest path. Every round's edg
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,3 +52,19 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
         raise RuntimeError("components did not settle")
     nodes = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return nodes.union(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+def forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """Smallest index reachable from each of ``n`` nodes over the edges ``(i, j)``."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        np.minimum.at(new, label[i], least)
+        np.minimum.at(new, label[j], least)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import materialize
 from . import packed
-from .components import connected_components
+from .components import connected_components, forest
 
 TILE_ROWS = 4096
 BLOCK = 16
@@ -101,22 +101,6 @@ def _tiler(axes: np.ndarray, tile_rows: int, kind: type):
     return run
 
 
-def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """Smallest index reachable from each of ``n`` nodes over the edges ``(i, j)``."""
-    label = np.arange(n)
-    while True:
-        least = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, least)
-        np.minimum.at(new, j, least)
-        np.minimum.at(new, label[i], least)
-        np.minimum.at(new, label[j], least)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def close_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the pairs of rows of ``a`` and ``b`` with cosine ``threshold`` or more."""
     ua, ub = _units(a), _units(b)
@@ -172,7 +156,7 @@ def _comparer(axes: np.ndarray, threshold: float, kind: type):
                 links = np.bincount(i, copies2[j], len(names))
                 if not same:
                     links += np.bincount(j + shift, copies[i], len(names))
-                root = _forest(i, j + shift, len(names))
+                root = forest(i, j + shift, len(names))
                 linked = np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[linked]), pa.array(links[linked].astype(np.int64)), pa.array(names[root[linked]])], ["cid", "links", "root"]

@@ -6,11 +6,14 @@ pairs that share a band are candidates. Their Jaccard index is estimated from th
 agree by chance, and pairs that are clearly too far apart (several standard deviations) go. The rest is verified on the
 full shingle sets.
 
-Equal sets are one *node*. Within a band bucket, nodes are first compared with one of them (a star), and only nodes that
-are still in different components after that are compared with each other, so a large group of copies costs as many rows
-as it has members.
+A band is a fixed choice of registers, more of them for smaller sets, so that about ``STRENGTH`` of them are in use: with
+fewer, one frequent shingle would throw unrelated short texts together. Sets are banded by the larger of two sizes: a set
+joins the classes of all sizes that a partner may have and that are not below its own. With 40 bands and 5 registers in
+use a pair at a similarity of 0.8 shares no band with probability 1e-7.
 
-With 40 bands of 5 registers a pair at a similarity of 0.8 shares no band with probability 1e-7.
+Equal sets are one *node*. Within a band bucket, nodes are first compared with one of them (a star), so a large group of
+copies costs as many rows as it has members. Nodes of a bucket that are still in different components are compared in
+blocks of bounded size on their full sets; a pair of blocks returns the edges of a spanning forest, never its pairs.
 
 Defined cases: null texts and texts without words have no shingles and link with nothing; with fewer words than a shingle
 has, the whole sequence is the one shingle; rows with equal ids are one node's members like others; a null id links, but
@@ -30,11 +33,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..runtime import materialize
 from . import packed
 from .bitmaps import BITS, bitmap, contains
-from .components import connected_components
+from .components import connected_components, forest
 
 REGISTERS = 200
-BAND = 5
+BANDS = 40
+STRENGTH = 5
 MANTISSA = 10
+BLOCK = 1024
 DEVIATIONS = 5.0
 
 _U = np.uint64
@@ -83,14 +88,40 @@ def registers(hashes: np.ndarray, bounds: np.ndarray, count: int = REGISTERS) ->
     return out
 
 
-def band_keys(matrix: np.ndarray, band: int = BAND) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every band and whether the band has any register in use."""
-    n, count = matrix.shape
-    groups = matrix[:, :count // band * band].reshape(n, count // band, band).astype(_U)
-    keys = np.broadcast_to(packed.mix(np.arange(count // band, dtype=_U) + _U(1)), groups.shape[:2]).copy()
-    for k in range(band):
-        keys = packed.mix(keys + groups[:, :, k])
-    return keys, groups.any(axis=2)
+def _registers_per_band(n: np.ndarray, count: int = REGISTERS) -> np.ndarray:
+    """How many registers make a band for sets of ``n`` shingles: about ``STRENGTH`` in use, at most half of all; in steps of a quarter power of 2."""
+    used = count * -np.expm1(-n / count)
+    wanted = np.clip(STRENGTH * count / np.maximum(used, 1e-9), STRENGTH, count / 2)
+    return np.rint(2.0 ** (np.round(np.log2(wanted) * 4) / 4)).astype(np.int64)
+
+
+def _choice(size: int, count: int = REGISTERS) -> np.ndarray:
+    """0/1 matrix (registers, bands) of the registers in each band: disjoint runs of shuffles of all registers."""
+    random = np.random.Generator(np.random.PCG64(size))
+    out = np.zeros((count, BANDS), dtype=_U)
+    per_shuffle = count // size
+    for band in range(BANDS):
+        if band % per_shuffle == 0:
+            order = random.permutation(count)
+        first = band % per_shuffle * size
+        out[order[first:first + size], band] = 1
+    return out
+
+
+def band_keys(matrix: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(keys, rows)`` of all bands of the registers ``matrix``, ``sizes`` registers each, but for bands without any register in use."""
+    scrambled = packed.mix(matrix.astype(_U) + (np.arange(1, matrix.shape[1] + 1, dtype=_U) << _U(20)))
+    scrambled[matrix == 0] = 0
+    keys, rows = [], []
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        choice = _choice(int(size), matrix.shape[1])
+        sums = scrambled[at] @ choice
+        used = sums != 0
+        labels = packed.mix(np.arange(BANDS, dtype=_U) + _U(BANDS * int(size)))
+        keys.append(packed.mix(sums + labels)[used])
+        rows.append(at[np.nonzero(used)[0]])
+    return np.concatenate(keys), np.concatenate(rows)
 
 
 def chance_agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -145,15 +176,23 @@ def _sketch_rows(width: int):
     return tasks
 
 
-def _band_rows(batches):
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys, used = band_keys(_matrix(batch.column(2)))
-        row = np.nonzero(used)[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(packed.signed(keys[used])), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))], ["bucket", "node", "n"]
-        )
+def _band_rows(percent: int):
+    def tasks(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                matrix, n = _matrix(part.column(2)), part.column(1).to_numpy().astype(float)
+                own, largest = _registers_per_band(n), _registers_per_band(n * 100 / percent)
+                between = [_registers_per_band(n * (100 / percent) ** f) for f in (0.25, 0.5, 0.75)]
+                done = []
+                for sizes in (own, *between, largest):
+                    fresh = np.flatnonzero(np.all([sizes != d for d in done], axis=0) if done else np.ones(len(sizes), bool))
+                    done.append(sizes)
+                    if len(fresh):
+                        keys, rows = band_keys(matrix[fresh], sizes[fresh])
+                        yield pa.RecordBatch.from_arrays([pa.array(packed.signed(keys)), part.column(0).take(pa.array(fresh[rows]))], ["bucket", "node"])
+
+    return tasks
 
 
 def _set_rows(width: int, wanted: np.ndarray):
@@ -181,32 +220,112 @@ def _verified(percent: int):
     return tasks
 
 
-class _Links:
-    """Candidate pairs of nodes to verified links."""
+def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Matrix of the pairs of sets with a Jaccard index of ``percent`` / 100 or more, from sums over their shared shingles."""
+    sides = [np.concatenate(x) if x else np.zeros(0, _U) for x in (left, right)]
+    sizes = [np.array([len(s) for s in x]) for x in (left, right)]
+    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    shared = np.intersect1d(np.unique(sides[0]), np.unique(sides[1]), assume_unique=True)
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
+    places = []
+    for values, row in zip(sides, rows):
+        at = np.searchsorted(shared, values)
+        inside = np.flatnonzero(at < len(shared))
+        inside = inside[shared[at[inside]] == values[inside]]
+        order = np.argsort(at[inside], kind="stable")
+        places.append((at[inside][order], row[inside][order]))
+    for first in range(0, len(shared), 4096):
+        held = []
+        for (at, row), n in zip(places, sizes):
+            low, high = np.searchsorted(at, [first, first + 4096])
+            part = np.zeros((len(n), 4096), dtype=np.float32)
+            part[row[low:high], at[low:high] - first] = 1
+            held.append(part)
+        common += held[0] @ held[1].T
+    return 100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common)
+
+
+def _groups(batches, keys: int):
+    """Consecutive rows with equal first ``keys`` columns, as tables; the rows come sorted by them."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in range(keys)]
+        new = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for low, high in zip(cuts, cuts[1:]):
+            key = tuple(c[low] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _block_links(percent: int):
+    def tasks(batches):
+        found = []
+        for group in _groups(batches, 3):
+            one, two, block, node, label = (group.column(k).to_numpy() for k in (1, 2, 3, 4, 5))
+            sets = [np.frombuffer(x.as_buffer(), dtype=_U) for x in group.column(6)]
+            a = np.flatnonzero(block == one[0])
+            b = np.flatnonzero(block == two[0])
+            if not len(a) or not len(b):
+                continue
+            apart = label[a][:, None] != label[b][None, :]
+            if not apart.any():
+                continue
+            i, j = np.nonzero(linked([sets[k] for k in a], [sets[k] for k in b], percent) & apart)
+            if len(i):
+                root = forest(a[i], b[j], len(node))
+                at = np.flatnonzero(root != np.arange(len(node)))
+                found.append((node[at], node[root[at]]))
+            if len(found) >= 256:
+                yield _edge_batch(found)
+                found = []
+        if found:
+            yield _edge_batch(found)
+
+    return tasks
 
-    def __init__(self, nodes: DataFrame, sets: DataFrame, percent: int):
-        self.nodes, self.sets, self.percent = nodes, sets, percent
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """``(u, v)`` of the pairs (u, v) that are similar enough on their full sets; each pair is looked at once."""
-        names = self.nodes.select("node", "n", "registers")
-        one = names.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("registers").alias("ru"))
-        two = names.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("registers").alias("rv"))
-        joined = pairs.join(one, "u").join(two, "v")
-        likely = joined.where(_plausible(self.percent / 100, DEVIATIONS)("ru", "rv", "nu", "nv")).select("u", "v")
-        first = self.sets.select(F.col("node").alias("u"), F.col("shingles").alias("su"))
-        second = self.sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv"))
-        full = likely.join(first, "u").join(second, "v").select("u", "v", "su", "sv")
-        return full.mapInArrow(_verified(self.percent), "u long, v long")
+def _edge_batch(found: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)], ["u", "v"])
 
 
-def _distinct_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, nu, v, nv) whose sizes allow the similarity, once each."""
+def _star_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(u, v)`` of the pairs that are similar enough: sizes first, then the estimate, then the full sets."""
+    names = nodes.select("node", "n", "registers")
+    one = names.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("registers").alias("ru"))
+    two = names.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("registers").alias("rv"))
     possible = F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent
-    return rows.where(possible).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
+    joined = pairs.join(one, "u").join(two, "v").where(possible)
+    likely = joined.where(_plausible(percent / 100, DEVIATIONS)("ru", "rv", "nu", "nv")).select("u", "v")
+    first = sets.select(F.col("node").alias("u"), F.col("shingles").alias("su"))
+    second = sets.select(F.col("node").alias("v"), F.col("shingles").alias("sv"))
+    full = likely.join(first, "u").join(second, "v").select("u", "v", "su", "sv")
+    return full.mapInArrow(_verified(percent), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bits: int = BITS) -> DataFrame:
+def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """``(u, v)``: links between nodes of one bucket that are in different components so far, as spanning forests of pairs of blocks."""
+    labelled = members.select("bucket", "node").join(labels.withColumnRenamed("id", "node"), "node", "left")
+    labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component")
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    mixed = mixed.where("low < high and size > 2").select("bucket", F.ceil(F.col("size") / block).alias("blocks"))
+    rest = labelled.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "bucket"), "blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    rest = rest.select("bucket", "block", "node", "label", other)
+    rest = rest.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")})
+    work = rest.join(sets, "node").select("bucket", "one", "two", "block", "node", "label", "shingles")
+    work = work.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two")
+    return work.mapInArrow(_block_links(percent), "u long, v long")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` per row: rows linked at a Jaccard index of ``percent`` / 100 or more share a component."""
     kind = docs.select(key).schema[0].dataType
     rows = docs.select(F.col(text).alias("text"), F.col(key).alias("id"))
@@ -214,30 +333,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     sketch = materialize(sketch, "sketch")
     nodes = sketch.where("n_shingles > 0").groupBy("node").agg(F.max("n_shingles").alias("n"), F.min("id").alias("least"), F.first("registers").alias("registers"))
     nodes = materialize(nodes, "nodes")
-    bands = nodes.select("node", "n", "registers").mapInArrow(_band_rows, "bucket long, node long, n long")
-    buckets = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("centre")).where("size > 1")
-    members = bands.join(buckets.drop("size"), "bucket")
-    members = materialize(members.select("bucket", "node", "n", F.col("centre.node").alias("centre"), F.col("centre.n").alias("nc")), "members")
+    bands = nodes.select("node", "n", "registers").mapInArrow(_band_rows(percent), "bucket long, node long")
+    buckets = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("centre")).where("size > 1")
+    members = materialize(bands.join(buckets.drop("size"), "bucket"), "members")
 
     named = members.select("node").distinct().join(nodes.select("node", "least"), "node")
     wanted = bitmap(named, F.xxhash64("least"), bits)
     sets = rows.select("text", F.xxhash64("id").alias("hash")).mapInArrow(_set_rows(width, wanted), "node long, shingles binary")
     sets = materialize(sets.dropDuplicates(["node"]), "sets")
-    links = _Links(nodes, sets, percent)
 
-    stars = members.where("node <> centre").select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("centre").alias("v"), F.col("nc").alias("nv"))
-    tried = materialize(_distinct_pairs(stars, percent), "stars")
-    edges = materialize(links.verify(tried), "links")
+    stars = members.where("node <> centre").select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct()
+    edges = materialize(_star_links(stars, nodes, sets, percent), "links")
     labels = connected_components(edges)
-
-    labelled = members.select("bucket", "node", "n").join(labels.withColumnRenamed("id", "node"), "node", "left")
-    labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component")
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-    rest = materialize(labelled.join(mixed, "bucket"), "rest")
-    one = rest.select("bucket", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("label").alias("lu"))
-    two = rest.select("bucket", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("label").alias("lv"))
-    crossing = _distinct_pairs(one.join(two, "bucket").where("lu < lv"), percent)
-    more = links.verify(crossing.join(tried, ["u", "v"], "left_anti"))
+    more = _rest_links(members, labels, sets, percent, block)
     labels = connected_components(edges.union(more))
 
     grouped = nodes.select("node", "least").join(labels.withColumnRenamed("id", "node"), "node", "left")
