@@ -37,7 +37,7 @@ END_WORD = np.uint64(0)
 SMOOTHING = 0.1
 
 _U = np.uint64
-_COUNT_BUFFER = 1 << 21
+_COUNT_BUFFER = 1 << 20
 
 
 # ---------------------------------------------------------------------------------------------------- grams of texts

@@ -7,7 +7,8 @@ Every window's hash is computed, but only windows that can repeat are sent throu
 *anchor*, the least hash among the short word runs inside it. Equal windows have equal anchors, and neighbouring windows
 mostly share one, so anchors are a few percent of the windows. Anchors are counted in Spark first; a fixed-size bitmap of
 those that occur in more than one document tells tasks which windows to send. No window is lost: the bitmap only ever lets
-too many through, and the exact comparison is the grouping of 96-bit window hashes.
+too many through, and the exact comparison is the grouping of
+84-bit window hashes. A second bitmap, of the rows with repeats, lets the texts of all other rows stay where they are.
 
 Defined cases: a null text has no words; texts shorter than a window keep everything; rows with equal ids do not repeat
 each other; rows without an id keep everything and are nobody's original; an empty table gives an empty one; other
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..runtime import materialize
@@ -29,7 +31,7 @@ from . import packed
 from .bitmaps import BITS, bitmap, contains
 
 WINDOW = 50
-ANCHOR = 12
+ANCHOR = 25
 
 
 def _anchors(words: np.ndarray, starts: np.ndarray, window: int, run: int) -> np.ndarray:
@@ -77,19 +79,20 @@ def _window_rows(window: int, run: int, repeated: np.ndarray):
                 if not len(hit):
                     continue
                 whole = packed.window_hashes(words, window)[first[hit]]
-                check = (packed.mix(anchor[hit] ^ packed.window_hashes(words, window, salt=2)[first[hit]]) >> np.uint64(32)).astype(np.int64)
-                at = pa.array(row[hit] + rows.start)
+                check = packed.mix(anchor[hit] ^ packed.window_hashes(words, window, salt=2)[first[hit]]) >> np.uint64(44)
+                mark = marks.to_numpy()[row[hit] + rows.start].view(np.uint64) & np.uint64(0xFFFF)
+                place = (first[hit] - bounds[row[hit]]).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(at), marks.take(at), pa.array((first[hit] - bounds[row[hit]]).astype(np.int32)), pa.array(packed.signed(whole)), pa.array(check.astype(np.int32, casting="unsafe"))],
-                    ["id", "mark", "at", "hash", "check"],
+                    [keys.take(pa.array(row[hit] + rows.start)), pa.array(packed.signed((mark << np.uint64(40)) | place)), pa.array(packed.signed(whole)), pa.array(check.astype(np.int32))],
+                    ["id", "place", "hash", "check"],
                 )
 
     return tasks
 
 
 def _with_mark(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows with a mark of their text, which tells rows with equal ids apart."""
-    return docs.select(F.col(text).alias("text"), F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("mark"))
+    """Rows with a 16-bit mark of their text, which tells rows with equal ids apart."""
+    return docs.select(F.col(text).alias("text"), F.col(key).alias("id"), F.xxhash64(F.col(text)).bitwiseAND(F.lit(0xFFFF)).alias("mark"))
 
 
 def repeated_windows(docs: DataFrame, key: str, text: str, window: int = WINDOW, run: int = ANCHOR, bits: int = BITS) -> DataFrame:
@@ -99,11 +102,12 @@ def repeated_windows(docs: DataFrame, key: str, text: str, window: int = WINDOW,
     anchors = rows.mapInArrow(_anchor_rows(window, run), f"id {kind}, anchor long")
     shared = anchors.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     repeated = bitmap(shared, F.col("anchor"), bits)
-    found = rows.mapInArrow(_window_rows(window, run, repeated), f"id {kind}, mark long, at int, hash long, check int")
+    found = rows.mapInArrow(_window_rows(window, run, repeated), f"id {kind}, place long, hash long, check int")
     found = materialize(found, "windows")
-    origin = found.groupBy("hash", "check").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").drop("most")
+    origin = found.groupBy("hash", "check").agg(F.min("id").alias("least"))
     again = found.join(origin, ["hash", "check"]).where("id > least")
-    return again.groupBy("id", "mark").agg(F.sort_array(F.collect_set("at")).alias("starts"))
+    marked = again.select("id", F.shiftright("place", 40).alias("mark"), F.expr("cast(place & 1099511627775 as int)").alias("at"))
+    return materialize(marked.groupBy("id", "mark").agg(F.sort_array(F.collect_set("at")).alias("starts")), "repeats")
 
 
 def intervals(starts: np.ndarray, window: int) -> np.ndarray:
@@ -151,7 +155,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     if not 1 <= run <= window:
         raise ValueError("an anchor run has between one word and a window's words")
     starts = repeated_windows(docs, key, text, window, run)
-    rows = _with_mark(docs, key, text).join(starts, ["id", "mark"], "left").select("text", "id", "starts")
+    known = bitmap(starts, F.xxhash64("id"))
+
+    @F.arrow_udf(T.BooleanType())
+    def touched(hashes: pa.Array) -> pa.Array:
+        return pa.array(contains(known, hashes.to_numpy()))
+
+    marked = _with_mark(docs, key, text).withColumn("touched", touched(F.xxhash64("id")))
+    rest = marked.where(~F.col("touched")).select("text", "id", F.lit(None).cast("array<int>").alias("starts"))
+    rows = marked.where("touched").join(starts, ["id", "mark"], "left").select("text", "id", "starts").union(rest)
     kind = docs.select(key).schema[0].dataType
     out = rows.mapInArrow(
         _remove(window, to_arrow_type(kind)),
