@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -57,7 +57,7 @@ class _Powers:
 
     def upto(self, n: int) -> list[np.ndarray]:
         if len(self.tables[0]) < n:
-            size = max(n, 2 * len(self.tables[0]), 1 << 16)
+            size = max(n, 1 << 16) + n // 2
             for k, step in enumerate(self.steps):
                 factors = np.full(size, step, dtype=_U)
                 factors[0] = 1

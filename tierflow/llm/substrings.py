@@ -104,7 +104,8 @@ def repeated_windows(docs: DataFrame, key: str, text: str, window: int = WINDOW,
     repeated = bitmap(shared, F.col("anchor"), bits)
     found = rows.mapInArrow(_window_rows(window, run, repeated), f"id {kind}, place long, hash long, check int")
     found = materialize(found, "windows")
-    origin = found.groupBy("hash", "check").agg(F.min("id").alias("least"))
+    origin = found.groupBy("hash", "check").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    origin = materialize(origin.drop("most"), "origins")  # stored, so that a hot window's rows can be split in the join
     again = found.join(origin, ["hash", "check"]).where("id > least")
     marked = again.select("id", F.shiftright("place", 40).alias("mark"), F.expr("cast(place & 1099511627775 as int)").alias("at"))
     return materialize(marked.groupBy("id", "mark").agg(F.sort_array(F.collect_set("at")).alias("starts")), "repeats")
