@@ -32,16 +32,16 @@ def sample(kind, rows=1003, seed=3):
 
 
 @pytest.mark.parametrize("kind", ["ties", "null", "distinct", "one_value"])
-@pytest.mark.parametrize("buckets,limit", [(3, 10), (10, 150)])
-def test_global_equals_window(spark, kind, buckets, limit):
+@pytest.mark.parametrize("buckets", [3, 10])
+def test_global_equals_window(spark, kind, buckets):
     df = spark.createDataFrame(sample(kind), "v int, k string").repartition(5)
-    same(ntile_exact(df, buckets, "v", "k", "b", max_rows_per_task=limit), windowed(df, buckets, "v", "k"))
+    same(ntile_exact(df, buckets, "v", "k", "b"), windowed(df, buckets, "v", "k"))
 
 
 @pytest.mark.parametrize("rows", [1, 3, 4, 5])
 def test_fewer_rows_than_buckets(spark, rows):
     df = spark.createDataFrame([(i, str(i)) for i in range(rows)], "v int, k string")
-    same(ntile_exact(df, 4, "v", "k", "b", max_rows_per_task=1), windowed(df, 4, "v", "k"))
+    same(ntile_exact(df, 4, "v", "k", "b"), windowed(df, 4, "v", "k"))
 
 
 def test_empty(spark):
@@ -59,27 +59,27 @@ def test_empty(spark):
 ])
 def test_value_types(spark, dtype, cast):
     df = spark.createDataFrame([(cast(i), i) for i in range(400)], f"v {dtype}, k bigint")
-    same(ntile_exact(df, 4, "v", "k", "b", max_rows_per_task=20), windowed(df, 4, "v", "k"))
+    same(ntile_exact(df, 4, "v", "k", "b"), windowed(df, 4, "v", "k"))
 
 
 def test_hot_group_and_null_group(spark):
     rows = [(v, k, "hot" if i % 3 else (None if i % 2 else f"g{i % 40}")) for i, (v, k) in enumerate(sample("ties"))]
     df = spark.createDataFrame(rows, "v int, k string, g string").repartition(4)
-    out = ntile_exact(df, 4, "v", "k", "b", partition_by=["g"], max_rows_per_task=50)
+    out = ntile_exact(df, 4, "v", "k", "b", partition_by=["g"])
     same(out, windowed(df, 4, "v", "k", ["g"]))
 
 
 def test_two_group_columns(spark):
     rows = [(v, k, i % 2, "ab"[i % 2]) for i, (v, k) in enumerate(sample("distinct"))]
     df = spark.createDataFrame(rows, "v int, k string, g int, h string")
-    same(ntile_exact(df, 5, "v", "k", "b", ["g", "h"], 60), windowed(df, 5, "v", "k", ["g", "h"]))
+    same(ntile_exact(df, 5, "v", "k", "b", ["g", "h"]), windowed(df, 5, "v", "k", ["g", "h"]))
 
 
 def test_result_does_not_depend_on_partitioning(spark):
     df = spark.createDataFrame(sample("ties"), "v int, k string")
     same(
-        ntile_exact(df.repartition(1), 4, "v", "k", "b", max_rows_per_task=40),
-        ntile_exact(df.repartition(7), 4, "v", "k", "b", max_rows_per_task=40),
+        ntile_exact(df.repartition(1), 4, "v", "k", "b"),
+        ntile_exact(df.repartition(7), 4, "v", "k", "b"),
     )
 
 
@@ -89,26 +89,27 @@ def test_ranges_that_end_in_different_rounds(spark):
         F.when(F.col("id") % 10 < 8, 500).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000))).cast("int").alias("v"),
         F.sha2(F.col("id").cast("string"), 256).alias("k"),
     )
-    same(ntile_exact(df, 20, "v", "k", "b", max_rows_per_task=25), windowed(df, 20, "v", "k"))
+    same(ntile_exact(df, 20, "v", "k", "b"), windowed(df, 20, "v", "k"))
 
 
 def test_several_columns_at_once(spark):
     df = spark.createDataFrame([(v, -(v or 0) * 1.5, k) for v, k in sample("ties")], "v int, w double, k string")
-    out = ntiles_exact(df, 4, {"a": "v", "c": "w"}, "k", max_rows_per_task=40)
+    out = ntiles_exact(df, 4, {"a": "v", "c": "w"}, "k")
     one = ntile_exact(ntile_exact(df, 4, "v", "k", "a"), 4, "w", "k", "c")
     same(out, one)
 
 
-def test_order_must_be_unique_beyond_one_task(spark):
-    df = spark.createDataFrame([(1, "same")] * 200, "v int, k string")
-    with pytest.raises(ValueError, match="not unique"):
-        ntile_exact(df, 4, "v", "k", "b", max_rows_per_task=10)
+def test_equal_rows_fill_buckets_like_the_window(spark):
+    df = spark.createDataFrame([(i % 3, "same") for i in range(1000)], "v int, k string").repartition(8)
+    sizes = {r["b"]: r["count"] for r in ntile_exact(df, 4, "v", "k", "b").groupBy("b").count().collect()}
+    assert sizes == {1: 250, 2: 250, 3: 250, 4: 250}
 
 
-def test_large_groups_stay_out_of_the_window(spark):
+def test_no_task_gets_all_rows_and_nothing_is_broadcast_by_force(spark):
     df = spark.createDataFrame(sample("ties"), "v int, k string")
-    plan = ntile_exact(df, 4, "v", "k", "b", max_rows_per_task=40)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "SinglePartition" not in plan and "Exchange" not in plan
+    out = ntile_exact(df, 4, "v", "k", "b")
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    assert "strategy=broadcast" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_inverted_recency(spark):

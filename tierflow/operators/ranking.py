@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tierflow.functions.ordering import with_rank_in
-from tierflow.runtime import local_frame
+from tierflow.runtime import materialize
 
 # ---------------------------------------------------------------------------------------------------------------------
 # Per-row rankings
@@ -26,14 +20,25 @@ def top_categories(measures: Mapping[str, str], names: Sequence[str]) -> list[Co
     ``measures`` maps a column to its label. Nulls rank last and equal values rank by label, largest first. The first
     output always has a label; the others are null where the ranked value is null.
     """
-    ranked = F.sort_array(
-        F.array(*[F.struct(F.col(column).alias("v"), F.lit(label).alias("k")) for column, label in measures.items()]),
-        asc=False,
-    )
+    by_label = sorted(measures.items(), key=lambda item: item[1], reverse=True)
+    places = {label: position for position, (_, label) in enumerate(by_label)}
+
+    def place(column: str, label: str) -> Column:
+        """How many columns rank before this one."""
+        ahead = []
+        for other, name in by_label:
+            if name != label or other != column:
+                wins = F.col(other) >= F.col(column) if places[name] < places[label] else F.col(other) > F.col(column)
+                unset = F.col(other).isNotNull() | F.lit(places[name] < places[label])
+                ahead.append(F.when(F.col(column).isNull(), unset).otherwise(F.coalesce(wins, F.lit(False))).cast("int"))
+        return reduce(lambda x, y: x + y, ahead, F.lit(0))
+
     outputs = []
     for position, name in enumerate(names):
-        entry = F.get(ranked, F.lit(position))
-        label = entry["k"] if position == 0 else F.when(entry["v"].isNotNull(), entry["k"])
+        label = F.lit(None).cast("string")
+        for column, text in by_label:
+            here = (place(column, text) == position) & (F.col(column).isNotNull() | F.lit(position == 0))
+            label = F.when(here, F.lit(text)).otherwise(label)
         outputs.append(label.alias(name))
     return outputs
 
@@ -50,275 +55,51 @@ def argmax_column(measures: Mapping[str, str], fill: int | float = 0, default: s
 
 # ---------------------------------------------------------------------------------------------------------------------
 # Exact ntile
-#
-# ntile(k) needs the k - 1 rows that end a bucket, not a global row number. Where a group fits one task the plain window
-# is used. In a larger group those rows are selected by narrowing: sampled cut points split the group into ranges of the
-# total order (value, key), the ranges are counted, and only ranges that hold a wanted row are split again, until each is
-# small enough to be numbered by one task. The buckets then follow from comparing each row with the k - 1 rows found, so
-# the group itself is never moved, sorted or numbered.
-
-MAX_ROWS_PER_TASK = 1_000_000
-MAX_CUTS = 64
-SAMPLE_PER_CUT = 32
-MAX_STALLED = 4
-
-
-@dataclass
-class _Range:
-    """Rows ``low <= (value, key) < high`` of one group, with the 1-based ranks wanted inside it."""
-
-    group: tuple
-    low: Row | None
-    high: Row | None
-    rows: int
-    wanted: dict[int, int] = field(default_factory=dict)  # bucket number -> rank within the range
-    stalled: int = 0  # rounds without a split
-    place: tuple[int, ...] = ()  # bin taken in each round; sorts the ranges of a group
-
-
-def _bucket_ends(rows: int, buckets: int) -> dict[int, int]:
-    """Rank of the last row of each bucket but the last one."""
-    size, larger = divmod(rows, buckets)
-    return {bucket: bucket * size + min(bucket, larger) for bucket in range(1, buckets)}
-
-
-def _plain_ntiles(
-    df: DataFrame, buckets: int, values: Mapping[str, str], key: Sequence[str], groups: Sequence[str]
-) -> DataFrame:
-    """One window per value; the windows share their partitioning."""
-    ties = [F.col(name).asc_nulls_first() for name in key]
-    partition = Window.partitionBy(*groups)
-    return df.select(
-        "*",
-        *[
-            F.ntile(buckets).over(partition.orderBy(F.col(value).asc_nulls_first(), *ties)).alias(alias)
-            for alias, value in values.items()
-        ],
-    )
-
 
-def _below(x: Column) -> Callable[[Column], Column]:
-    return lambda end: end < x
+_PART = "__part"
 
 
-class _GroupTable:
-    """One small driver-side entry per group, attached to the rows of the group.
+def _with_ntile(df: DataFrame, buckets: int, value: str, keys: Sequence[str], groups: Sequence[str], alias: str) -> DataFrame:
+    """Rows range-partitioned by (group, value, key) and stored with their partition's number.
 
-    Ungrouped rows take the entry from a one-row scalar subquery. Grouped rows join a table of the groups that exceed one
-    task: there are at most rows / MAX_ROWS_PER_TASK of them, which bounds the broadcast.
+    A row's rank is its number inside the group's part of the partition plus the group's rows in earlier partitions, so a
+    group is spread over as many tasks as it fills, and nothing but one count per group and partition is looked at twice.
     """
-
-    def __init__(self, df: DataFrame, groups: Sequence[str], entry: T.StructType):
-        self.df, self.groups, self.entry = df, list(groups), entry
-
-    def attach(self, per_group: Mapping[tuple, tuple], name: str) -> DataFrame:
-        spark = self.df.sparkSession
-        if not self.groups:
-            only = local_frame(spark, [(per_group[()],)], T.StructType([T.StructField(name, self.entry)]))
-            return self.df.withColumn(name, only.scalar())
-        fields = [T.StructField(f"__g{i}", self.df.schema[g].dataType) for i, g in enumerate(self.groups)]
-        rows = [(*group, entry) for group, entry in per_group.items()]
-        table = local_frame(spark, rows, T.StructType([*fields, T.StructField(name, self.entry)]))
-        condition = reduce(
-            lambda a, b: a & b, [self.df[g].eqNullSafe(table[f"__g{i}"]) for i, g in enumerate(self.groups)]
-        )
-        return self.df.join(F.broadcast(table), condition, "inner").drop(*[f.name for f in fields])
-
-
-def _literal(row: Row, dtype: T.StructType) -> Column:
-    return F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, dtype.fields)])
-
-
-def _select_bucket_ends(
-    rows: DataFrame,
-    sizes: Mapping[tuple, int],
-    groups: Sequence[str],
-    order_type: T.StructType,
-    buckets: int,
-    limit: int,
-) -> dict[tuple, list[Row]]:
-    """The row that ends each bucket, per group. ``rows`` has the group columns and ``x``, the struct (value, key)."""
-    ranges = [_Range(group, None, None, count, _bucket_ends(count, buckets)) for group, count in sizes.items()]
-    part_type = T.StructType(
-        [
-            T.StructField("id", T.IntegerType()),
-            T.StructField("high", order_type),
-            T.StructField("keep", T.LongType()),
-            T.StructField("cuts", T.ArrayType(order_type)),
-            T.StructField("ranks", T.ArrayType(T.LongType())),
-        ]
-    )
-    # The ranges of a group do not overlap. Sorted, they are found by a binary search of their lower ends.
-    entry_type = T.StructType(
-        [
-            T.StructField("shift", T.IntegerType()),
-            T.StructField("lows", T.ArrayType(order_type)),
-            T.StructField("parts", T.ArrayType(part_type)),
-        ]
-    )
-    table = _GroupTable(rows, groups, entry_type)
-    hash_space = 1 << 40
-
-    def located(active: Sequence[_Range], extra: Callable[[_Range], tuple]) -> DataFrame:
-        """Rows ``x`` of the active ranges with the fields of their range; a row belongs to one range at most.
-
-        The comparison of structs orders null fields first, as the window does.
-        """
-        by_group: dict[tuple, list[tuple[int, _Range]]] = {group: [] for group in sizes}
-        for index, part in enumerate(active):
-            by_group[part.group].append((index, part))
-        per_group = {}
-        for group, parts in by_group.items():
-            parts.sort(key=lambda entry: entry[1].place)
-            open_start = bool(parts) and parts[0][1].low is None
-            lows = [part.low for _, part in parts if part.low is not None]
-            per_group[group] = (0 if open_start else -1, lows, [(i, part.high, *extra(part)) for i, part in parts])
-        attached = table.attach(per_group, "__entry").withColumn("__lows", F.col("__entry.lows"))
-        longest = max(len(entry[1]) for entry in per_group.values())
-        ranked = with_rank_in(attached, "x", "__lows", longest, "__rank")
-        found = F.get("__entry.parts", F.col("__rank") + F.col("__entry.shift"))
-        inside = F.col("part.high").isNull() | (F.col("x") < F.col("part.high"))
-        matched = ranked.select("x", found.alias("part")).filter(F.col("part").isNotNull() & inside)
-        return matched.select("x", *[F.col(f"part.{name}").alias(name) for name in ("id", "keep", "cuts", "ranks")])
-
-    small = [part for part in ranges if part.rows <= limit]
-    large = [part for part in ranges if part.rows > limit]
-    round_number = 0
-    while large:
-        round_number += 1
-        # Every round draws another sample. Distinct rows are split by one of a few samples; equal rows never are.
-        if max(part.stalled for part in large) >= MAX_STALLED:
-            raise ValueError("ntile order is not unique: equal (value, key) rows exceed one task")
-
-        def cut_count(part: _Range) -> int:
-            return max(2, min(MAX_CUTS, math.ceil(2 * part.rows / limit)))
-
-        # A sample by key hash is a function of the row, so a repeated task draws the same rows.
-        def sampling(part: _Range) -> tuple:
-            share = min(1.0, cut_count(part) * SAMPLE_PER_CUT / part.rows)
-            return (int(share * hash_space), [], [])
-
-        draw = F.pmod(F.xxhash64("x", F.lit(round_number)), F.lit(hash_space))
-        sampled = located(large, sampling).filter(draw < F.col("keep"))
-        ordered = sampled.groupBy("id").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-        cuts: dict[int, list[Row]] = {}
-        for row in ordered.collect():
-            parts = cut_count(large[row["id"]])
-            picked = [row["xs"][len(row["xs"]) * i // parts] for i in range(1, parts)]
-            cuts[row["id"]] = list(dict.fromkeys(picked))
-
-        index_of = {id(part): index for index, part in enumerate(large)}
-
-        def cutting(part: _Range) -> tuple:
-            return (0, [tuple(cut) for cut in cuts.get(index_of[id(part)], [])], [])
-
-        longest = max((len(row) for row in cuts.values()), default=0)
-        counted = with_rank_in(located(large, cutting), "x", "cuts", longest, "bin").groupBy("id", "bin").count()
-        histogram: dict[int, dict[int, int]] = {}
-        for row in counted.collect():
-            histogram.setdefault(row["id"], {})[row["bin"]] = row["count"]
-
-        narrowed: list[_Range] = []
-        for index, part in enumerate(large):
-            edges = [part.low, *cuts.get(index, []), part.high]
-            before = 0
-            for position in range(len(edges) - 1):
-                count = histogram.get(index, {}).get(position, 0)
-                inside = {b: rank - before for b, rank in part.wanted.items() if before < rank <= before + count}
-                if inside:
-                    stalled = part.stalled + 1 if count == part.rows else 0
-                    ends, place = (edges[position], edges[position + 1]), (*part.place, position)
-                    narrowed.append(_Range(part.group, *ends, count, inside, stalled, place))
-                before += count
-        small += [part for part in narrowed if part.rows <= limit]
-        large = [part for part in narrowed if part.rows > limit]
-
-    def ranking(part: _Range) -> tuple:
-        return (0, [], sorted(set(part.wanted.values())))
-
-    position = F.row_number().over(Window.partitionBy("id").orderBy("x")).cast("bigint")
-    numbered = located(small, ranking).select("id", "x", "ranks").withColumn("rank", position)
-    ends = numbered.filter(F.array_contains("ranks", F.col("rank"))).select("id", "rank", "x")
-    at = {(row["id"], row["rank"]): row["x"] for row in ends.collect()}
-    found: dict[tuple, dict[int, Row]] = {group: {} for group in sizes}
-    for index, part in enumerate(small):
-        found[part.group].update({bucket: at[(index, rank)] for bucket, rank in part.wanted.items()})
-    return {group: [by_bucket[bucket] for bucket in sorted(by_bucket)] for group, by_bucket in found.items()}
+    order = [F.col(value).asc_nulls_first(), *[F.col(k).asc_nulls_first() for k in keys]]
+    ranged = df.repartitionByRange(*[F.col(g).asc_nulls_first() for g in groups], *order)
+    stored = materialize(ranged.withColumn(_PART, F.spark_partition_id()), "ranked")
+    names = [f"__g{i}" for i in range(len(groups))]
+    counts = stored.groupBy(*[F.col(g).alias(n) for g, n in zip(groups, names)], F.col(_PART).alias("__p")).agg(F.count("*").alias("__n"))
+    whole = Window.partitionBy(*(names or [F.pmod("__p", F.lit(1))]))
+    before = whole.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumns({"__before": F.coalesce(F.sum("__n").over(before), F.lit(0)), "__rows": F.sum("__n").over(whole)})
+    inside = F.row_number().over(Window.partitionBy(*groups, _PART).orderBy(*order))
+    same = [stored[_PART] == offsets["__p"], *[stored[g].eqNullSafe(offsets[n]) for g, n in zip(groups, names)]]
+    ranked = stored.withColumn("__inside", inside).join(offsets, reduce(lambda x, y: x & y, same))
+    rank, size = F.col("__before") + F.col("__inside") - 1, F.expr(f"__rows div {int(buckets)}")
+    larger = F.col("__rows") % buckets
+    in_larger = larger * (size + 1)
+    late = larger + F.try_divide(rank - in_larger, size).cast("long")
+    bucket = F.when(rank < in_larger, (rank / (size + 1)).cast("long")).otherwise(late) + 1
+    return ranked.select(*df.columns, bucket.cast("int").alias(alias))
 
 
 def ntiles_exact(
-    df: DataFrame,
-    buckets: int,
-    values: Mapping[str, str],
-    key: str | Sequence[str],
-    partition_by: Sequence[str] = (),
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    df: DataFrame, buckets: int, values: Mapping[str, str], key: str | Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """``ntile(buckets)`` of several columns, given as ``{output: column}``; nulls first, ties by ``key``.
 
-    Same result as the window function, over all rows or per ``partition_by`` group. ``key`` must make rows unique within
-    a group. ``df`` is read several times, so pass a materialised frame. Groups of at most ``max_rows_per_task`` rows use
-    the window; a larger group is bucketed without collecting it in any task.
+    Same bucket sizes as the window function at every size, over all rows or per ``partition_by`` group. Rows with equal
+    value and key are interchangeable: the buckets take the right number of them, in no stated order.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    groups = list(partition_by)
-    limit = max(max_rows_per_task, buckets)
-    if not groups:
-        count = df.count()
-        hot = {(): count} if count > limit else {}
-    else:
-        large = df.groupBy(*groups).count().filter(F.col("count") > limit)
-        hot = {tuple(row[g] for g in groups): row["count"] for row in large.collect()}
-    if not hot:
-        return _plain_ntiles(df, buckets, values, keys, groups)
-
-    key_fields = [T.StructField(f"k{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
-    types, orders = {}, {}
     for alias, value in values.items():
-        types[alias] = T.StructType([T.StructField("v", df.schema[value].dataType), *key_fields])
-        orders[alias] = F.struct(F.col(value).alias("v"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-
-    def select(alias: str) -> dict[tuple, list[Row]]:
-        rows = df.select(*groups, orders[alias].alias("x"))
-        return _select_bucket_ends(rows, hot, groups, types[alias], buckets, limit)
-
-    # The columns are independent, so their jobs run side by side.
-    with ThreadPoolExecutor(max_workers=len(values)) as pool:
-        started = {alias: pool.submit(inheritable_thread_target(df.sparkSession)(select), alias) for alias in values}
-        ends = {alias: future.result() for alias, future in started.items()}
-
-    if not groups:
-        outputs = []
-        for alias in values:
-            bounds = [_literal(row, types[alias]) for row in ends[alias][()]]
-            passed = [(orders[alias] > bound).cast("int") for bound in bounds]
-            outputs.append(reduce(lambda a, b: a + b, passed, F.lit(1)).alias(alias))
-        return df.select("*", *outputs)
-
-    # One entry per hot group: for each output the array of its bucket ends.
-    entry = T.StructType([T.StructField(f"e{i}", T.ArrayType(types[alias])) for i, alias in enumerate(values)])
-    per_group = {group: tuple([tuple(row) for row in ends[alias][group]] for alias in values) for group in hot}
-    attached = _GroupTable(df, groups, entry).attach(per_group, "__ends")
-    outputs = []
-    for i, alias in enumerate(values):
-        passed = F.filter(F.col(f"__ends.e{i}"), _below(orders[alias]))
-        outputs.append((F.size(passed) + 1).cast("int").alias(alias))
-    bucketed = attached.select(*df.columns, *outputs)
-    fields = [T.StructField(f"__g{i}", df.schema[g].dataType) for i, g in enumerate(groups)]
-    hot_table = local_frame(df.sparkSession, list(hot), T.StructType(fields))
-    is_hot = reduce(lambda a, b: a & b, [df[g].eqNullSafe(hot_table[f"__g{i}"]) for i, g in enumerate(groups)])
-    rest = df.join(F.broadcast(hot_table), is_hot, "left_anti")
-    return _plain_ntiles(rest, buckets, values, keys, groups).unionByName(bucketed)
+        df = _with_ntile(df, buckets, value, keys, list(partition_by), alias)
+    return df
 
 
 def ntile_exact(
-    df: DataFrame,
-    buckets: int,
-    value: str,
-    key: str | Sequence[str],
-    alias: str,
-    partition_by: Sequence[str] = (),
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    df: DataFrame, buckets: int, value: str, key: str | Sequence[str], alias: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """``ntiles_exact`` of one column."""
-    return ntiles_exact(df, buckets, {alias: value}, key, partition_by, max_rows_per_task)
+    return ntiles_exact(df, buckets, {alias: value}, key, partition_by)

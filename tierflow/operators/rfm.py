@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.days import day_words, days_in_words, fits_words
-from tierflow.operators.ranking import MAX_ROWS_PER_TASK, ntiles_exact
+from tierflow.operators.ranking import ntiles_exact
 
 METRICS = ("Recency", "Frequency", "MonetaryDuration")
 SCORES = ("RecencyScore", "FrequencyScore", "MonetaryDurationScore")
@@ -94,7 +94,6 @@ def score(
     invert_recency: bool = False,
     columns: Sequence[str] = METRICS,
     names: Sequence[str] = SCORES,
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Ntile of each metric, ascending, nulls first, ties by key; over all keys or per ``partition_by`` group.
 
@@ -106,7 +105,7 @@ def score(
     if invert_recency:
         ranked = metrics.withColumn("__inverted", -F.col(columns[0]))
         values[names[0]] = "__inverted"
-    return ntiles_exact(ranked, buckets, values, key, partition_by, max_rows_per_task).drop("__inverted")
+    return ntiles_exact(ranked, buckets, values, key, partition_by).drop("__inverted")
 
 
 def rfm_code(scores: Sequence[str] = SCORES) -> Column:

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 
 from tierflow import schemas
 from tierflow.functions.recode import UNKNOWN, first_wins, sources_by_target
-from tierflow.operators.ranking import MAX_ROWS_PER_TASK
 
 # Application names and the duration column each one feeds. The first match wins.
 APP_NAMES = ("CHANNEL", "KPLUS", "VOD", "FIMS", "BHD", "SPORT", "CHILD", "RELAX")
@@ -54,7 +53,6 @@ class LayerConfig:
     population: str = "all"
     partition_by: tuple[str, ...] = ("Date",)
     policy: str = "fail"
-    max_rows_per_task: int = MAX_ROWS_PER_TASK
 
     def __post_init__(self):
         if self.population not in ("all", "usable"):

@@ -62,7 +62,6 @@ def score(metrics: DataFrame, config: LayerConfig) -> DataFrame:
         config.buckets,
         config.score_within,
         config.invert_recency,
-        max_rows_per_task=config.max_rows_per_task,
     )
 
 

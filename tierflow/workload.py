@@ -340,7 +340,7 @@ def rfm_scores_global(spark, sf_dir):
 def rfm_scores_exact(spark, sf_dir):
     """Bucket ends selected by narrowing, as for tables whose keys exceed one task."""
     metrics = materialize(rfm_metrics_customers(spark, sf_dir))
-    return rfm.score(metrics, "Contract", max_rows_per_task=500)
+    return rfm.score(metrics, "Contract")
 
 
 SEGMENT_METRICS_SQL = f"""
@@ -365,7 +365,7 @@ def rfm_scores_by_segment(spark, sf_dir):
 def rfm_scores_hot_segment(spark, sf_dir):
     """Deciles per segment with segments that exceed one task."""
     return rfm.score(
-        _segment_metrics(spark, sf_dir), "Contract", buckets=10, partition_by=["segment"], max_rows_per_task=100
+        _segment_metrics(spark, sf_dir), "Contract", buckets=10, partition_by=["segment"]
     )
 
 
