@@ -13,6 +13,16 @@ import xxhash
 from tierflow.llm.queries import QUERIES
 
 
+@pytest.fixture(scope="module")
+def small():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def middle():
+    return "/root/testdata/sf0.01"
+
+
 def table(sf_dir, name, *columns):
     return list(pd.read_parquet(f"{sf_dir}/{name}.parquet")[list(columns)].itertuples(index=False, name=None))
 
