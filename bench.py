@@ -1,24 +1,12 @@
-"""Timings of the headline queries.
-
-``python bench.py`` prints one JSON line for the tables in ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``.
-``python bench.py --compare [copies]`` times the layered plan against a plain restatement of the same result (inferred
-pivot, self-join for the latest date, driver-side day count, unpartitioned windows) on the events, multiplied ``copies``
-times over users.
-"""
+"""Timings of the headline queries: one JSON line for the tables in ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``."""
 
 import json
 import os
 import statistics
-import sys
 import time
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
-
 from tierflow import workload
-from tierflow.operators import rfm
-from tierflow.plans import layers
-from tierflow.runtime import build_session, clear_scratch, scratch_path
+from tierflow.runtime import build_session, clear_scratch
 
 HEADLINE = (
     "top3_categories",
@@ -87,51 +75,5 @@ def headline():
     print(json.dumps(line))
 
 
-def plain_gold(rows):
-    """The gold table the direct way, with the tie-break and the day count the layered plan uses."""
-    total = rows.filter("Date IS NOT NULL").select("Date").distinct().count()
-    latest = rows.groupBy("Contract").agg(F.max("Date").alias("LatestDate"))
-    metrics = rows.join(latest, "Contract").groupBy("Contract").agg(
-        F.min(F.datediff(F.lit(rfm.as_date(workload.EVENTS.report_date)), "LatestDate")).alias("Recency"),
-        F.round(F.count_distinct("Date") / F.lit(total) * 100, 2).alias("Frequency"),
-        F.sum("TotalDuration").alias("MonetaryDuration"),
-    )
-    for metric, name in zip(rfm.METRICS, rfm.SCORES):
-        metrics = metrics.withColumn(name, F.ntile(4).over(Window.orderBy(metric, "Contract")))
-    typed = layers.categorized(rows, workload.EVENTS)
-    pivoted = typed.groupBy("Contract").pivot("Type").sum("TotalDuration")
-    for column in workload.EVENTS.columns:
-        if column not in pivoted.columns:
-            pivoted = pivoted.withColumn(column, F.lit(None).cast("bigint"))
-    ranked = pivoted.select("Contract", *workload.EVENTS.columns, *layers.ranked_columns(workload.EVENTS))
-    return ranked.join(metrics.select("Contract", *rfm.SCORES), "Contract")
-
-
-def layered_gold(rows):
-    return layers.gold_of(layers.profile(rows, workload.EVENTS, rfm.date_bounds(rows, "Date")), workload.EVENTS)
-
-
-def compare(copies):
-    spark = session(os.environ.get("BENCH_CPUS", "8"))
-    events = workload.bronze_events(spark, os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"))
-    path = scratch_path(spark, "enlarged")
-    copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
-    enlarged = events.repartition(32).withColumn("copy", copy)
-    enlarged = enlarged.withColumn("Contract", F.concat("Contract", F.lit("-"), F.col("copy").cast("string"))).drop("copy")
-    enlarged.write.parquet(path)
-    rows = spark.read.parquet(path)
-    out = {"rows": rows.count(), "keys": rows.select("Contract").distinct().count()}
-    left, right = layered_gold(rows), plain_gold(rows)
-    out["equal"] = left.exceptAll(right.select(*left.columns)).count() == 0 and left.count() == right.count()
-    out["layered_sec"] = seconds(lambda: layered_gold(rows), 3)
-    out["plain_sec"] = seconds(lambda: plain_gold(rows), 3)
-    clear_scratch(spark)
-    print(json.dumps(out))
-
-
 if __name__ == "__main__":
-    if "--compare" in sys.argv:
-        rest = sys.argv[sys.argv.index("--compare") + 1:]
-        compare(int(rest[0]) if rest else 1)
-    else:
-        headline()
+    headline()

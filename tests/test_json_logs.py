@@ -93,7 +93,7 @@ def test_run_from_files_to_gold(spark, folder):
     ]
     assert rows(gold) == expected
     assert rows(spark.table("run_files.gold")) == expected
-    assert rows(spark.table("run_files.bronze_quarantine")) == [(dt.date(2022, 4, 1), "{bad")]
+    assert rows(spark.table("run_files.bronze_corrupt")) == [(dt.date(2022, 4, 1), "{bad")]
     assert spark.table("run_files.bronze").count() == 5
     assert {f.name: f.dataType for f in spark.table("run_files.rfm").schema} == {f.name: f.dataType for f in schemas.RFM}
     assert [r["operation"] for r in history(lake, "bronze").collect()] == ["overwrite", "create"]

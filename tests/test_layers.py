@@ -214,3 +214,20 @@ def test_rfm_code(spark):
 def test_default_mapping():
     assert first_wins(APP_NAMES, COLUMN_NAMES)["BHD"] == "MovieDuration"
     assert CONFIG.targets["TVDuration"] == ["CHANNEL", "KPLUS"]
+
+
+def test_other_key_buckets_and_groups(spark, edge):
+    from tierflow.sinks import Lake
+    from tierflow.plans.run import gold_layer, profile_bronze, silver_layer
+    from tierflow.runtime import scratch_path
+    from tierflow.sinks.snapshots import publish
+
+    lake = Lake(spark, scratch_path(spark, "lake"), "other_config")
+    config = replace(CONFIG, key="Mac", buckets=10, score_within=("Contract",))
+    known = {"AppName", "Contract", "TotalDuration", "Date"}
+    rows_ = edge.select(*[c for c in edge.columns if c in known], F.concat(F.lit("m"), F.monotonically_increasing_id().cast("string")).alias("Mac"))
+    publish(lake, rows_, "bronze")
+    profiled, _ = profile_bronze(lake, config)
+    silver_layer(lake, config, profiled)
+    gold_layer(lake, config, profiled)
+    assert spark.table("other_config.gold").columns[0] == "Mac" and spark.table("other_config.rfm").count() == edge.count()

@@ -89,3 +89,18 @@ def test_registry_has_every_layer():
     scores = [c for c in RULES["gold"].columns if c.minimum is not None]
     assert [(c.name, c.minimum, c.maximum) for c in scores] == [
         ("RecencyScore", 1, 4), ("FrequencyScore", 1, 4), ("MonetaryDurationScore", 1, 4)]
+
+
+def test_quarantine_follows_the_mode_of_its_table(spark, frame):
+    lake = Lake(spark, scratch_path(spark, "lake"), "quarantine_modes")
+
+    def count():
+        return spark.table("quarantine_modes.t_quarantine").count()
+
+    publish(lake, frame, "t", rules=RULE, policy="quarantine")
+    once = count()
+    publish(lake, frame, "t", rules=RULE, policy="quarantine", append=True)
+    assert count() == 2 * once > 0
+    good = spark.table("quarantine_modes.t").limit(1)
+    publish(lake, spark.createDataFrame(good.collect(), good.schema), "t", rules=RULE, policy="quarantine")
+    assert count() == 0

@@ -53,10 +53,11 @@ def recode_with_table(
 ) -> DataFrame:
     """Recode through a mapping table, for mappings too large to inline.
 
-    The mapping must hold one row per source. No hint is given: Spark broadcasts the mapping only when its measured
+    A source with several rows has the least of its targets, so facts are never multiplied. No hint is given: Spark broadcasts the mapping only when its measured
     size is below the session's broadcast threshold, and otherwise shuffles with adaptive skew handling.
     """
     lookup = mapping.select(F.col(source).alias("__source"), F.col(target).alias("__target"))
+    lookup = lookup.groupBy("__source").agg(F.min("__target").alias("__target"))
     joined = df.join(lookup, df[category] == lookup["__source"], "left")
     return joined.select(*df.columns, F.coalesce("__target", F.lit(default)).alias(alias))
 

@@ -6,8 +6,11 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 from tierflow import schemas
 from tierflow.functions.recode import UNKNOWN, first_wins, sources_by_target
+from tierflow.operators import quality
 
 # Application names and the duration column each one feeds. The first match wins.
 APP_NAMES = ("CHANNEL", "KPLUS", "VOD", "FIMS", "BHD", "SPORT", "CHILD", "RELAX")
@@ -22,7 +25,7 @@ COLUMN_NAMES = (
     "RelaxDuration",
 )
 
-# Label of each duration column, in the order that decides ties of the arg-max.
+# Label of each duration column, in the order that decides ties of the arg-max.
 LABELS = {
     "ChildDuration": "Child",
     "MovieDuration": "Movie",
@@ -64,6 +67,20 @@ class LayerConfig:
         grouped = sources_by_target(self.mapping)
         return {column: grouped.get(column, []) for column in self.columns}
 
+    def rules(self, table: str) -> quality.TableRules:
+        """Audit rules of a layer, in terms of this configuration's columns and buckets."""
+        if table == "bronze":
+            return quality.RULES["bronze"]
+        key = T.StructField(self.key, T.StringType())
+        measures = [T.StructField(name, T.LongType()) for name in self.columns]
+        ranked = [T.StructField(name, T.StringType()) for name in schemas.MOST_WATCHED_COLUMNS]
+        scores = [T.StructField(name, T.IntegerType()) for name in schemas.SCORE_COLUMNS]
+        metrics = [f for f in schemas.RFM.fields if f.name not in ("Contract", *schemas.SCORE_COLUMNS)]
+        fields = {"silver": measures + ranked, "rfm": metrics + scores, "gold": measures + ranked + scores, "pivot": measures}[table]
+        ranges = {name: (1, self.buckets) for name in schemas.SCORE_COLUMNS}
+        required = (self.key,) if table == "rfm" else ()
+        return quality.TableRules.from_schema(table, T.StructType([key, *fields]), ranges, required)
+
     @property
     def ranked(self) -> dict[str, str]:
         """Columns and labels in label order."""

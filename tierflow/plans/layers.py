@@ -76,13 +76,15 @@ def summary(rows: DataFrame, config: LayerConfig, period: rfm.Period | None = No
     """Everything silver, rfm and gold need, in one scan and one aggregation by key.
 
     Scoring looks at the whole population and the pivot at the usable rows, so the pivot sums carry that condition themselves and
-    ``usable`` counts the rows that met it. The group of the null key stays: its dates belong to the period.
+    ``usable`` counts the rows that met it. Columns of ``score_within`` are carried along, by their least value per key. The group of the null key stays: its dates belong to the period.
     """
+    carried = [name for name in config.score_within if name != config.key]
     typed = _population(rows, config).select(
         config.key,
         config.date,
         config.measure,
         recode(config.category, config.mapping, config.default).alias("__type"),
+        *carried,
     )
     usable = usable_rows(config.key, config.junk_keys, "__type", config.default, config.measure)
     label = F.when(usable, F.col("__type"))
@@ -96,6 +98,7 @@ def summary(rows: DataFrame, config: LayerConfig, period: rfm.Period | None = No
         F.count_if(usable).alias("__usable"),
         F.max(config.date).alias("__latest"),
         F.sum(config.measure).alias(rfm.METRICS[2]),
+        *[F.min(name).alias(name) for name in carried],
         *days,
     )
 

@@ -9,14 +9,16 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from tierflow import schemas
-from tierflow.operators import quality, rfm
+from tierflow.operators import rfm
 from tierflow.plans import layers
 from tierflow.plans.config import LayerConfig
 from tierflow.runtime import delete_path, local_frame, stage
 from tierflow.sinks.lake import Lake, Snapshot, file_sizes, read_snapshot
-from tierflow.sinks.snapshots import QUARANTINE_SUFFIX, Layout, publish
+from tierflow.sinks.snapshots import Layout, publish
 from tierflow.sources.json_logs import read_json_logs, split_corrupt
 
+CORRUPT_SUFFIX = "_corrupt"
+
 
 def create_layers(lake: Lake, partition_bronze_by: tuple[str, ...] = ("Date",)) -> list[str]:
     """Publish empty layer tables in a new lake, so that every layer can be queried before the first run."""
@@ -30,7 +32,7 @@ def create_layers(lake: Lake, partition_bronze_by: tuple[str, ...] = ("Date",))
 
 
 def bronze_layer(lake: Lake, hits: DataFrame, config: LayerConfig, cluster: bool = True, **options) -> Snapshot:
-    """Publish the bronze table, clustered by key within the date partitions; unparsable lines go to quarantine.
+    """Publish the bronze table, clustered by key within the date partitions; unparsable lines go to a table of their own.
 
     The raw files are parsed once, into a staged table that the quarantine, the clustering sample and the final write
     read.
@@ -39,11 +41,10 @@ def bronze_layer(lake: Lake, hits: DataFrame, config: LayerConfig, cluster: bool
     stored = (staged.count(), file_sizes(lake.spark, [path])[1])
     if schemas.CORRUPT_COLUMN in staged.columns:
         staged, bad = split_corrupt(staged)
-        if bad.take(1):
-            publish(lake, bad, "bronze" + QUARANTINE_SUFFIX, evolve=True, partition_by=())
+        publish(lake, bad, "bronze" + CORRUPT_SUFFIX, evolve=True, partition_by=())
     layout = Layout(cluster_by=(config.key,)) if cluster else Layout(compact=True)
     snapshot = publish(
-        lake, staged, "bronze", partition_by=config.partition_by, rules=quality.RULES["bronze"], policy=config.policy,
+        lake, staged, "bronze", partition_by=config.partition_by, rules=config.rules("bronze"), policy=config.policy,
         layout=layout, stored=stored,
     )
     delete_path(lake.spark, path)
@@ -62,7 +63,7 @@ def silver_layer(lake: Lake, config: LayerConfig, profiled: DataFrame) -> None:
     tables = {"rfm": layers.rfm_of(profiled, config), "silver": layers.silver_of(profiled, config)}
 
     def write(name: str) -> Snapshot:
-        return publish(lake, tables[name], name, rules=quality.RULES[name], policy=config.policy)
+        return publish(lake, tables[name], name, rules=config.rules(name), policy=config.policy)
 
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         started = [pool.submit(inheritable_thread_target(lake.spark)(write), name) for name in tables]
@@ -76,7 +77,7 @@ def gold_layer(lake: Lake, config: LayerConfig, profiled: DataFrame | None = Non
         table = layers.gold_of(profiled, config)
     else:
         table = layers.gold(read_snapshot(lake, "silver"), read_snapshot(lake, "rfm"), config)
-    return publish(lake, table, "gold", rules=quality.RULES["gold"], policy=config.policy)
+    return publish(lake, table, "gold", rules=config.rules("gold"), policy=config.policy)
 
 
 def run(

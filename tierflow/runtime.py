@@ -39,7 +39,7 @@ def build_session(app_name: str = "tierflow", master: str | None = None, **conf:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.master", "local").startswith("local")
+    return spark.sparkContext.master.startswith("local")
 
 
 def scratch_root(spark: SparkSession) -> str:

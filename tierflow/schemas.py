@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
 
+# Names and types of the input and output columns.
+
 # Raw search-index hit: metadata fields around a nested source document.
 RAW_HIT = T.StructType(
     [

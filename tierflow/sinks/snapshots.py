@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tierflow.functions.ordering import curve_bits, with_range_id, with_z_value
 from tierflow.operators import quality
-from tierflow.runtime import delete_path, session_conf
+from tierflow.runtime import delete_path, session_conf, stage
 from tierflow.sinks import catalog
 from tierflow.sinks.lake import Lake, Snapshot, file_sizes, read_paths, read_snapshot
 
@@ -71,18 +71,25 @@ def write_files(
     rows: int | None = None,
     size: int | None = None,
 ) -> None:
-    """Write ``df`` as zstd files. ``rows`` and ``size`` of a stored input let clustering skip measuring it."""
+    """Write ``df`` as zstd files; partitioned tables get about one file per partition and ``target_bytes``.
+
+    ``rows`` and ``size`` of a stored input let clustering skip measuring it; without them the input is staged first.
+    """
     layout = layout or Layout()
     spark = df.sparkSession
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(layout.target_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
+    staged = None
     if layout.cluster_by:
-        partitions = max(1, math.ceil((size or 0) / layout.target_bytes))
-        out = clustered(df, layout.cluster_by, partitions, rows or 0, partition_by, layout.bits)
+        if rows is None or size is None:
+            df, staged = stage(df, "measured")
+            rows, size = df.count(), file_sizes(spark, [staged])[1]
+        partitions = max(1, math.ceil(size / layout.target_bytes))
+        out = clustered(df, layout.cluster_by, partitions, rows, partition_by, layout.bits)
         settings = {}
-    elif layout.compact:
+    elif layout.compact or partition_by:
         out = df.hint("rebalance", *partition_by)
     else:
         out, settings = df, {}
@@ -93,6 +100,8 @@ def write_files(
         writer = writer.partitionBy(*partition_by)
     with session_conf(spark, settings):
         writer.save(path)
+    if staged is not None:
+        delete_path(spark, staged)
 
 
 def _check_partition_types(schema: T.StructType, partition_by: Sequence[str]) -> None:
@@ -133,7 +142,8 @@ def publish(
     """Write ``df`` as the next snapshot of a table, audit what was written, then make it the current one.
 
     The audit is one column-pruned scan of the new files. Under the ``fail`` policy a broken rule raises and the table
-    stays as it was; under ``quarantine`` the bad rows go to ``<table>_quarantine``. ``append`` adds the rows to those
+    stays as it was; under ``quarantine`` the bad rows go to ``<table>_quarantine``, which holds those of the
+    rows now published: an append adds to it, an overwrite replaces it, be it by nothing. ``append`` adds the rows to those
     already published. A change of columns needs ``evolve``; when appending, columns missing on either side are null.
     ``stored`` gives rows and bytes of ``df`` if it is a scan of files that were already measured.
     """
@@ -168,10 +178,17 @@ def publish(
     written = read_paths(spark, [first], schema, lake.format)
     valid, invalid, added = written, None, None
     if rules is not None:
-        valid, invalid, audit = quality.enforce(written, rules, policy)
+        try:
+            valid, invalid, audit = quality.enforce(written, rules, policy)
+        except quality.QualityError:
+            delete_path(spark, first)
+            raise
         added = audit.rows
+    quarantine = table + QUARANTINE_SUFFIX
     if invalid is not None:
-        publish(lake, invalid, table + QUARANTINE_SUFFIX, evolve=True, partition_by=(), ts=ts)
+        publish(lake, invalid, quarantine, append=append, evolve=True, partition_by=(), ts=ts)
+    elif rules is not None and policy == "quarantine" and not append and lake.snapshot(quarantine) is not None:
+        publish(lake, read_snapshot(lake, quarantine).filter(F.lit(False)), quarantine, evolve=True, partition_by=(), ts=ts)
     if staging or invalid is not None:
         if not staging:
             path = f"{path}-valid"

@@ -92,10 +92,15 @@ def parse_literal_lines(
     return parsed.select(*columns)
 
 
+# Fixed value: the time format of the log.
+SESSION_TIME_PATTERN = "yyyy:MM:dd:HH:mm:ss:SSS"
+
+
 def session_timestamp(column: Column | str) -> Column:
     """Timestamp from ``<mac>:yyyy:MM:dd:HH:mm:ss:SSS``; null for other text."""
     text = F.col(column) if isinstance(column, str) else column
-    return F.try_to_timestamp(F.regexp_replace(text, r"^(\w+):", ""), F.lit("yyyy:MM:dd:HH:mm:ss:SSS"))
+    after_mac = F.substr(text, F.instr(text, F.lit(":")) + 1)
+    return F.try_to_timestamp(after_mac, F.lit(SESSION_TIME_PATTERN))
 
 
 def read_player_log(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = schemas.PLAYER_LOG) -> DataFrame:
