@@ -72,6 +72,8 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and its row offsets."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
     if column.null_count:
         column = pc.fill_null(column, "")
     _, where, data = column.buffers()
