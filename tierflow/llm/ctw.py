@@ -223,9 +223,10 @@ def finish(codes: np.ndarray, probability: np.ndarray, first, root) -> np.ndarra
 
 
 def _subtree_batches(batches):
-    whole = pa.Table.from_batches(list(batches))
-    if not whole.num_rows:
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
         return
+    whole = pa.Table.from_batches(held)
     codes = whole["key"].to_numpy().view(np.uint64)
     probability, (keys, n0, n1, logs) = subtree(codes, whole["trained"].to_numpy())
     packed_rows = packed.binary_rows(probability.astype(np.float32).ravel(), np.arange(len(codes) + 1) * 8)
