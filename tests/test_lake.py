@@ -155,7 +155,8 @@ def test_compaction(lake, days):
 
 
 def test_compaction_of_a_partitioned_table(lake, days):
-    publish(lake, days.repartition(16), "t", partition_by=["Date"])
+    small = Layout(max_records=max(1, days.count() // 48))  # a publish balances its files by itself
+    publish(lake, days.repartition(16), "t", partition_by=["Date"], layout=small)
     metrics = compact(lake, "t").first()
     assert metrics["files_before"] > 40 and metrics["files_after"] == 4
     same(read_snapshot(lake, "t"), days)
