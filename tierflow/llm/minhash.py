@@ -13,7 +13,8 @@ use a pair at a similarity of 0.8 shares no band with probability 1e-7.
 
 Equal sets are one *node*. Within a band bucket, nodes are first compared with one of them (a star), so a large group of
 copies costs as many rows as it has members. Nodes of a bucket that are still in different components are compared in
-blocks of bounded size on their full sets; a pair of blocks returns the edges of a spanning forest, never its pairs.
+blocks of bounded size on their full sets; a pair of blocks returns the edges of a spanning forest, never its pairs. The
+largest component of a bucket meets only the nodes outside it.
 
 Defined cases: null texts and texts without words have no shingles and link with nothing; with fewer words than a shingle
 has, the whole sequence is the one shingle; rows with equal ids are one node's members like others; a null id links, but
@@ -310,17 +311,30 @@ def _star_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: in
     return full.mapInArrow(_verified(percent), "u long, v long")
 
 
-def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """``(u, v)``: links between nodes of one bucket that are in different components so far, as spanning forests of pairs of blocks."""
+def _rest_work(members: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """``(bucket, one, two, block, node, label)``: the pairs of blocks to compare in buckets with several components.
+
+    Nodes of a bucket's largest component are in blocks of their own, which meet only the blocks of the other nodes: pairs
+    inside one component need no comparison, so a large group with a few strays costs one or two rows per member.
+    """
     labelled = members.select("bucket", "node").join(labels.withColumnRenamed("id", "node"), "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component")
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-    mixed = mixed.where("low < high and size > 2").select("bucket", F.ceil(F.col("size") / block).alias("blocks"))
-    rest = labelled.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "bucket"), "blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    rest = rest.select("bucket", "block", "node", "label", other)
-    rest = rest.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")})
-    work = rest.join(sets, "node").select("bucket", "one", "two", "block", "node", "label", "shingles")
+    parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("size"))
+    mixed = parts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("main"), F.sum("size").alias("size"), F.count("*").alias("parts"))
+    mixed = mixed.where("parts > 1 and size > 2").select(
+        "bucket", F.col("main.label").alias("main"),
+        F.ceil((F.col("size") - F.col("main.size")) / block).alias("blocks"), F.ceil(F.col("main.size") / block).alias("main_blocks"),
+    )
+    rest, hashed, central = labelled.join(mixed, "bucket"), F.xxhash64("node", "bucket"), F.col("label") == F.col("main")
+    rest = rest.withColumn("block", F.when(central, F.col("blocks") + F.pmod(hashed, "main_blocks")).otherwise(F.pmod(hashed, "blocks")))
+    last = F.when(central, F.col("blocks")).otherwise(F.col("blocks") + F.col("main_blocks")) - 1
+    rest = rest.select("bucket", "block", "node", "label", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
+    return rest.select("bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "label")
+
+
+def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """``(u, v)``: links between nodes of one bucket that are in different components so far, as spanning forests of pairs of blocks."""
+    work = _rest_work(members, labels, block).join(sets, "node").select("bucket", "one", "two", "block", "node", "label", "shingles")
     work = work.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two")
     return work.mapInArrow(_block_links(percent), "u long, v long")
 
