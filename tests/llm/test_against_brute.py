@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 import xxhash
 
+from tierflow.llm import minhash
 from tierflow.llm.queries import QUERIES
 
 
@@ -127,3 +128,22 @@ def test_op10(spark, middle):
     got = keyed(result(spark, "op10_minhash", middle), "doc_id", "n_shingles", "component_id")
     want = brute.near_duplicates(table(middle, "documents", "doc_id", "text"))
     assert got == want and len({v[1] for v in want.values()}) < len(want)
+
+
+@pytest.mark.parametrize("block", [2, 64])
+def test_op10_blocks_meet(spark, middle, block):
+    """Every two nodes of a bucket in different components are in one group; groups stay small, and small blocks change no result."""
+    labels = [k if k % 4 == 0 else 1 for k in range(30)]
+    members = spark.createDataFrame([(b, k) for b in (7, 8) for k in range(30 if b == 7 else 3)], "bucket long, node long")
+    known = spark.createDataFrame(list(enumerate(labels)), "id long, component long")
+    work = minhash._rest_work(members, known, block).toPandas()
+    met = set()
+    for (bucket, one, two), group in work.groupby(["bucket", "one", "two"]):
+        assert len(group) <= (60 if block == 64 else 12)
+        left, right = (group[group["block"] == side]["node"] for side in (one, two))
+        met |= {(bucket, min(i, j), max(i, j)) for i in left for j in right if labels[i] != labels[j]}
+    assert met == {(b, i, j) for b, n in ((7, 30), (8, 3)) for j in range(n) for i in range(j) if labels[i] != labels[j]}
+
+    docs = spark.read.parquet(f"{middle}/documents.parquet")
+    got = keyed(minhash.near_duplicates(docs, width=2, block=block).toPandas(), "doc_id", "n_shingles", "component_id")
+    assert got == brute.near_duplicates(table(middle, "documents", "doc_id", "text"))

@@ -274,6 +274,9 @@ def _block_links(percent: int):
             sets = [np.frombuffer(x.as_buffer(), dtype=_U) for x in group.column(6)]
             a = np.flatnonzero(block == one[0])
             b = np.flatnonzero(block == two[0])
+            if one[0] == two[0]:  # the largest component is compared with the others only
+                names, counts = np.unique(label[a], return_counts=True)
+                a = a[label[a] != names[counts.argmax()]]
             if not len(a) or not len(b):
                 continue
             apart = label[a][:, None] != label[b][None, :]
@@ -312,24 +315,29 @@ def _star_links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: in
 
 
 def _rest_work(members: DataFrame, labels: DataFrame, block: int) -> DataFrame:
-    """``(bucket, one, two, block, node, label)``: the pairs of blocks to compare in buckets with several components.
+    """``(bucket, one, two, block, node, label)``: the groups to compare in buckets with several components.
 
-    Nodes of a bucket's largest component are in blocks of their own, which meet only the blocks of the other nodes: pairs
-    inside one component need no comparison, so a large group with a few strays costs one or two rows per member.
+    A bucket of up to two blocks is one group. In larger ones the largest component is in blocks of its own, which meet
+    only the blocks of the other nodes, as pairs inside one component need no comparison: a large group with a few strays
+    costs one row per member. No group has more than about two blocks of rows.
     """
     labelled = members.select("bucket", "node").join(labels.withColumnRenamed("id", "node"), "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component")
     parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("size"))
     mixed = parts.groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("main"), F.sum("size").alias("size"), F.count("*").alias("parts"))
     mixed = mixed.where("parts > 1 and size > 2").select(
-        "bucket", F.col("main.label").alias("main"),
+        "bucket", "size", F.col("main.label").alias("main"),
         F.ceil((F.col("size") - F.col("main.size")) / block).alias("blocks"), F.ceil(F.col("main.size") / block).alias("main_blocks"),
     )
-    rest, hashed, central = labelled.join(mixed, "bucket"), F.xxhash64("node", "bucket"), F.col("label") == F.col("main")
-    rest = rest.withColumn("block", F.when(central, F.col("blocks") + F.pmod(hashed, "main_blocks")).otherwise(F.pmod(hashed, "blocks")))
+    rest, names = labelled.join(mixed, "bucket"), ["bucket", "one", "two", "block", "node", "label"]
+    zero = F.lit(0).cast("long")
+    small = rest.where(F.col("size") <= 2 * block).withColumns({"one": zero, "two": zero, "block": zero})
+    large, hashed, central = rest.where(F.col("size") > 2 * block), F.xxhash64("node", "bucket"), F.col("label") == F.col("main")
+    large = large.withColumn("block", F.when(central, F.col("blocks") + F.pmod(hashed, "main_blocks")).otherwise(F.pmod(hashed, "blocks")))
     last = F.when(central, F.col("blocks")).otherwise(F.col("blocks") + F.col("main_blocks")) - 1
-    rest = rest.select("bucket", "block", "node", "label", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other"))
-    return rest.select("bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "label")
+    large = large.select("bucket", "block", "node", "label", F.explode(F.sequence(zero, last)).alias("other"))
+    large = large.withColumns({"one": F.least("block", "other"), "two": F.greatest("block", "other")})
+    return small.select(*names).union(large.select(*names))
 
 
 def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
