@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tierflow.plans.player_log import player_sessions
 from tierflow.sources import parse_keyed_tsv, parse_literal_lines, read_keyed_tsv, read_player_log, session_timestamp
 
 FIELDS = ["Mac", "SessionMainMenu", "LogId", "Event", "ItemId", "RealTimePlaying"]
@@ -92,3 +93,12 @@ def test_keyed_tsv(spark, tmp_path):
 def test_keyed_tsv_types(spark):
     df = parse_keyed_tsv(spark.createDataFrame([("AAAAx\t1",)], "value string"))
     assert dict(df.dtypes) == {"MacId": "string", "Days": "int"}
+
+
+def test_player_sessions_keep_every_log_row(spark, tmp_path):
+    (tmp_path / "log.txt").write_text("{'Mac': 'B0', 'Event': 'x'}\n{'Mac': 'B1'}\n{'Mac': None}\n{'Mac': 'B2'}\n")
+    (tmp_path / "info.txt").write_text("MAC\t#days\n0000B0\t7\n0000B1\tnone\n0000B2\t1\n0000B2\t2\n")
+    out = player_sessions(spark, str(tmp_path / "log.txt"), str(tmp_path / "info.txt"))
+    assert out.columns == [*FIELDS, "Days"]
+    found = sorted((r["Mac"] or "", r["Days"] or 0) for r in out.collect())
+    assert found == [("", 0), ("B0", 7), ("B1", 0), ("B2", 1), ("B2", 2)]

@@ -19,6 +19,7 @@ from tierflow.operators import pivot, quality, ranking, rfm
 from tierflow.operators.enrich import left_lookup
 from tierflow.plans import layers
 from tierflow.plans.config import LayerConfig
+from tierflow.plans.player_log import player_sessions
 from tierflow.plans.run import run
 from tierflow.runtime import materialize, scratch_path
 from tierflow.sinks import catalog, maintenance
@@ -521,19 +522,18 @@ def json_corrupt_lines(spark, sf_dir):
     )
 
 
-@query(
-    "literal_lines_parse",
-    """
+PLAYER_LOG_SQL = """
 SELECT 'M' || CAST(user_id AS VARCHAR) AS "Mac", strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS "SessionMainMenu",
        CAST(event_id AS VARCHAR) AS "LogId",
        CASE WHEN event_type = 'error' THEN 'it''s a "' || event_type || '"' ELSE event_type END AS "Event",
        CASE WHEN event_type = 'view' THEN NULL ELSE props END AS "ItemId",
        CASE WHEN event_type = 'click' THEN 'true' ELSE 'false' END AS "RealTimePlaying"
 FROM events
-""",
-)
-def literal_lines_parse(spark, sf_dir):
-    """Dictionary-literal lines with bare words, quotes in strings, integers and escapes."""
+"""
+
+
+def _write_player_log(spark, sf_dir) -> str:
+    """The events as dictionary-literal lines with bare words, quotes in strings, integers and escapes."""
     events = table(spark, sf_dir, "events")
     mac = F.concat(F.lit("M"), F.col("user_id").cast("string"))
     session = F.concat(mac, F.lit(":"), F.date_format("ts", "yyyy:MM:dd:HH:mm:ss:SSS"))
@@ -550,8 +550,24 @@ def literal_lines_parse(spark, sf_dir):
     )
     path = scratch_path(spark, "player-log")
     events.select(line.alias("value")).write.text(path)
+    return path
+
+
+def _write_user_info(spark, sf_dir, lead="ABCD") -> str:
+    """The customers as key/value lines, with ``lead`` before each key; some values are no numbers."""
+    customers = table(spark, sf_dir, "customer")
+    days = F.when(F.col("c_acctbal") > 0, F.col("c_nationkey").cast("string")).otherwise("#days")
+    path = scratch_path(spark, "user-info")
+    box = F.concat(F.lit(lead), F.col("c_custkey").cast("string"))
+    customers.select(F.concat(box, F.lit("\t"), days).alias("value")).write.text(path)
+    return path
+
+
+@query("literal_lines_parse", PLAYER_LOG_SQL)
+def literal_lines_parse(spark, sf_dir):
+    """Dictionary-literal lines with bare words, quotes in strings, integers and escapes."""
     shown = F.date_format("SessionMainMenu", "yyyy-MM-dd HH:mm:ss.SSS")
-    return read_player_log(spark, path).withColumn("SessionMainMenu", shown)
+    return read_player_log(spark, _write_player_log(spark, sf_dir)).withColumn("SessionMainMenu", shown)
 
 
 @query(
@@ -562,13 +578,20 @@ SELECT CAST(c_custkey AS VARCHAR) AS "MacId", c_nationkey AS "Days" FROM custome
 )
 def keyed_tsv_parse(spark, sf_dir):
     """Key/value lines; lines whose value is not a number drop."""
-    customers = table(spark, sf_dir, "customer")
-    days = F.when(F.col("c_acctbal") > 0, F.col("c_nationkey").cast("string")).otherwise("#days")
-    path = scratch_path(spark, "user-info")
-    customers.select(
-        F.concat(F.lit("ABCD"), F.col("c_custkey").cast("string"), F.lit("\t"), days).alias("value")
-    ).write.text(path)
-    return parse_keyed_tsv(read_text_lines(spark, path))
+    return parse_keyed_tsv(read_text_lines(spark, _write_user_info(spark, sf_dir)))
+
+
+@query(
+    "player_log_job",
+    f"""
+SELECT l.*, CASE WHEN c_acctbal > 0 THEN c_nationkey END AS "Days"
+FROM ({PLAYER_LOG_SQL}) l LEFT JOIN customer ON "Mac" = 'M' || CAST(c_custkey AS VARCHAR)
+""",
+)
+def player_log_job(spark, sf_dir):
+    """Literal lines and key/value lines, joined on the box; boxes without a readable value keep a null."""
+    sessions = player_sessions(spark, _write_player_log(spark, sf_dir), _write_user_info(spark, sf_dir, "ABCDM"))
+    return sessions.withColumn("SessionMainMenu", F.date_format("SessionMainMenu", "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
 # ---------------------------------------------------------------------------------------------------------------------
