@@ -103,9 +103,11 @@ def session_timestamp(column: Column | str) -> Column:
     return F.try_to_timestamp(after_mac, F.lit(SESSION_TIME_PATTERN))
 
 
-def read_player_log(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = schemas.PLAYER_LOG) -> DataFrame:
-    """Player log lines with a parsed session time."""
-    parsed = parse_literal_lines(read_text_lines(spark, paths), schema)
+def read_player_log(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = schemas.PLAYER_LOG, fallback: bool = True
+) -> DataFrame:
+    """Player log lines with a parsed session time; ``fallback`` as in ``parse_literal_lines``."""
+    parsed = parse_literal_lines(read_text_lines(spark, paths), schema, fallback=fallback)
     return parsed.withColumn("SessionMainMenu", session_timestamp("SessionMainMenu"))
 
 
