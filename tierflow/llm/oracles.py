@@ -51,5 +51,30 @@ WITH sized AS (
     SELECT *, sum(size) OVER (ORDER BY finish, source_no, shuffled, doc_id, epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= total AS fits FROM waiting
 ), taken AS (SELECT doc_id, sum(size) AS taken FROM mixed WHERE fits GROUP BY doc_id)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM queued LEFT JOIN taken USING (doc_id)
+""",
+    "op13_divergence": r"""
+WITH docs AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (
+    SELECT lang, source, term, count(*) AS n, count(DISTINCT row) AS held FROM (SELECT lang, source, row, unnest(words) AS term FROM docs) GROUP BY lang, source, term
+), kept AS (SELECT lang, term, sum(n) AS lang_n FROM counts GROUP BY lang, term HAVING sum(held) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+dense AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n, lang_n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total, v, lang_total
+    FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source, term)
+), shares AS (
+    SELECT lang, source, term, n, 1 + 1000000000 * (n + 2)::HUGEINT // (total + 2 * v) AS p, 1 + 1000000000 * (lang_n + 2)::HUGEINT // (lang_total + 2 * v) AS q FROM dense
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """,
 }
