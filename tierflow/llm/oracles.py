@@ -51,6 +51,41 @@ WITH sized AS (
     SELECT *, sum(size) OVER (ORDER BY finish, source_no, shuffled, doc_id, epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= total AS fits FROM waiting
 ), taken AS (SELECT doc_id, sum(size) AS taken FROM mixed WHERE fits GROUP BY doc_id)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM queued LEFT JOIN taken USING (doc_id)
+""",
+    "op12_prefix_trie": r"""
+WITH placed AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS first, count(*) AS own, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+        lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, i: xor(d >> 1, 3988292384 * (d & 1))))) % 4 AS h
+    FROM placed GROUP BY conv_id
+), lengths AS (
+    SELECT conv_id, first, h, least(h, (SELECT count(*) FROM placed WHERE placed.conv_id = convs.first)) AS taken,
+        least(h, (SELECT count(*) FROM placed WHERE placed.conv_id = convs.first)) + greatest(own - h, 0) AS length
+    FROM convs
+), turns AS (
+    SELECT l.conv_id, p.place AS depth, p.role, p.text FROM lengths l JOIN placed p ON p.conv_id = l.first AND p.place <= l.h
+    UNION ALL SELECT l.conv_id, p.place - l.h + l.taken, p.role, p.text FROM lengths l JOIN placed p ON p.conv_id = l.conv_id AND p.place > l.h
+), steps AS (
+    SELECT conv_id, depth, string_agg(md5(role) || md5(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS prefix,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+    FROM turns
+    UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+), nodes AS (
+    SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, left(prefix, greatest(64 * (depth - 1), 0)) AS above FROM steps GROUP BY depth, prefix
+), children AS (SELECT depth - 1 AS depth, above AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), marked AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, prefix)
+), below AS (
+    SELECT s.depth, s.prefix, sum(CAST(m.n_children = 0 AS INTEGER)) AS n_leaves, sum((m.n_convs - 1) * m.words) AS saved_tokens
+    FROM marked m JOIN steps s ON s.conv_id = m.conv_id AND s.depth <= m.depth GROUP BY ALL
+), ends AS (
+    SELECT s.depth, s.prefix, sha256(string_agg(s.conv_id::VARCHAR, ',' ORDER BY s.conv_id)) AS ends_sha256 FROM steps s JOIN lengths l ON l.conv_id = s.conv_id AND l.length = s.depth GROUP BY ALL
+)
+SELECT m.conv_id, m.depth, p.conv_id AS parent_conv_id, m.n_convs, m.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+    CAST(b.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM marked m JOIN below b USING (depth, prefix) LEFT JOIN marked p ON p.depth = m.depth - 1 AND p.prefix = m.above LEFT JOIN ends e ON e.depth = m.depth AND e.prefix = m.prefix
 """,
     "op13_divergence": r"""
 WITH docs AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontamination, divergence, embeddings, minhash, mixing, packing, pii, quality, sharding, substrings
+from . import chat, ctw, decontamination, divergence, embeddings, minhash, mixing, packing, pii, prefix_trie, quality, sharding, substrings
 from ..runtime import materialize
 
 PROBE = -1  # id of the conversation that tries to forge control strings
@@ -84,6 +84,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_table(spark, sf_dir, "documents"), path(TOKENIZER), keep_ids=False)).withColumnRenamed("id", "doc_id")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*prefix_trie.share_heads(prefix_trie.numbered_turns(_table(spark, sf_dir, "conversations"))))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
@@ -92,6 +96,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_decontamination, op3_substring_dedup, op4_quality, op5_chat_formatting, op6_lm_scoring, op7_embedding_dedup, op8_mixing,
-        op9_pii, op10_minhash, op11_packing, op13_divergence,
+        op9_pii, op10_minhash, op11_packing, op12_prefix_trie, op13_divergence,
     )
 }
