@@ -1,6 +1,7 @@
 """Plain Python versions of the operators' contracts, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -190,3 +191,67 @@ def ctw_scores(docs, depth=5, folds=10):
             total += log10(p)
         out[doc] = total
     return out
+
+
+def prefix_trie(rows, most=4, block=20):
+    """{(conv_id, depth): (parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256)} of (conv, turn, role, text) rows."""
+    said = {}
+    for conv, turn, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        said.setdefault(conv, []).append((role or "", text or ""))
+    built = {}
+    for conv, own in said.items():
+        h = zlib.crc32(str(conv).encode()) % most
+        built[conv] = tuple(said.get(conv - int(math.fmod(conv, block)), [])[:h] + own[h:])
+    members = {}
+    for conv, turns in built.items():
+        for depth in range(len(turns) + 1):
+            members.setdefault(turns[:depth], []).append(conv)
+    children, below = {}, {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    for node in sorted(members, key=len, reverse=True):
+        under = [below[c] for c in children.get(node, [])]
+        own = (len(members[node]) - 1) * len(VISIBLE.findall(node[-1][1])) if node else 0
+        below[node] = (sum(u[0] for u in under) or 1, own + sum(u[1] for u in under))
+    out = {}
+    for node, convs in members.items():
+        ended = sorted(c for c in convs if len(built[c]) == len(node))
+        out[min(convs), len(node)] = (
+            min(members[node[:-1]]) if node else None, len(convs), len(children.get(node, [])), *below[node], sha(",".join(map(str, ended)))
+        )
+    return out
+
+
+def divergence(docs, least=10, top=10):
+    """{(lang, source, part, item): (value, rank)} of (text, lang, source) rows."""
+    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    counts, held = {}, {}
+    for text, lang, source in docs:
+        lang, own = lang or "", counts.setdefault((lang or "", source or ""), {})
+        words = term.findall(lower(text))
+        for w in words:
+            own[w] = own.get(w, 0) + 1
+        for w in set(words):
+            held[lang, w] = held.get((lang, w), 0) + 1
+    out = {}
+    for lang in {k[0] for k in counts}:
+        kept = [w for (at, w), n in held.items() if at == lang and n >= least]
+        groups = {source: {w: c[w] for w in kept if w in c} for (at, source), c in counts.items() if at == lang}
+        whole = {w: sum(g.get(w, 0) for g in groups.values()) for w in kept}
+
+        def share(group):
+            total = sum(group.values())
+            return {w: 1 + 10**9 * (group.get(w, 0) + 2) // (total + 2 * len(kept)) for w in kept}
+
+        def gap(p, q):
+            return (p - q) * (p - q) // (p + q)
+
+        q = share(whole)
+        shares = {source: share(g) for source, g in groups.items()}
+        for source, p in shares.items():
+            pairs = [(-sum(gap(p[w], x[w]) for w in kept), other.encode(), other) for other, x in shares.items() if other != source]
+            terms = [(-gap(p[w], q[w]), w.encode(), w) for w in groups[source] if p[w] > q[w]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out |= {(lang, source, part, item): (-value, rank) for rank, (value, _, item) in enumerate(found, 1)}
+    return out
