@@ -380,12 +380,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One row of every group of near duplicates: that of the smallest id. Rows without id stay; of rows with equal ids one stays."""
-    found = near_duplicates(docs, key, text, width, percent)
-    kept = materialize(found.where("kept").groupBy(key).agg(F.count("*").alias("__rows")), "kept")
-    same = docs[key].eqNullSafe(kept[key])
-    unnamed = docs.where(F.col(key).isNull())
-    rows = docs.join(kept.where("__rows = 1"), same, "left_semi").unionByName(unnamed)
+    """One row of every group of near duplicates, columns as they were: that of the smallest id.
+
+    Verdicts are by id and text, so an id with several texts keeps each that is in a group of its own. Of rows with equal
+    id and text one stays; rows without id stay and push no other row out.
+    """
+    mark = F.xxhash64(docs[text])
+    marked = docs.select(F.struct(docs[key].isNull().alias("unnamed"), docs[key].alias("id"), mark.alias("mark")).alias("row"), docs[text].alias("text"))
+    found = near_duplicates(marked, "row", "text", width, percent).where("kept AND NOT row.unnamed")
+    kept = materialize(found.groupBy("row").agg(F.count("*").alias("__rows")), "kept")
+    same = (docs[key] == kept["row"]["id"]) & (mark == kept["row"]["mark"])
+    rows = docs.join(kept.where("__rows = 1"), same, "left_semi").unionByName(docs.where(docs[key].isNull()))
     if kept.where("__rows > 1").isEmpty():
         return rows
-    return rows.unionByName(docs.join(kept.where("__rows > 1"), same, "left_semi").dropDuplicates([key]))
+    repeated = docs.join(kept.where("__rows > 1"), same, "left_semi").withColumn("__mark", F.xxhash64(text))
+    return rows.unionByName(repeated.dropDuplicates([key, "__mark"]).drop("__mark"))

@@ -60,8 +60,7 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"), mixing.word_count(F.col("text")))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_table(spark, sf_dir, "documents"), mixing.word_count(F.col("text"))).drop("source")
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

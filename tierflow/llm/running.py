@@ -12,12 +12,13 @@ from ..runtime import materialize
 PART = "__part"
 
 
-def range_parts(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The rows range-partitioned by ``order`` and stored with the number of their partition.
+def range_parts(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """The rows range-partitioned by ``order`` and stored with the number of their partition; ``parts`` fixes how many there are.
 
     Stored, because partition numbers are only meaningful as long as nobody computes them anew.
     """
-    return materialize(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()), "ranges")
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    return materialize(ranged.withColumn(PART, F.spark_partition_id()), "ranges")
 
 
 def running_total(df: DataFrame, group: str, order: Sequence[str], value: str, out: str) -> DataFrame:
