@@ -38,8 +38,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The weighted mix of sources; a document taken more than once is there as often."""
-    mixed = mixing.mix(docs, mixing.word_count(F.col("text")), keep=[c for c in docs.columns if c not in ("doc_id", "source")])
-    return mixing.repeat_taken(mixed, docs.columns)
+    return mixing.mixture(docs, mixing.word_count(F.col("text")))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
