@@ -117,9 +117,9 @@ def test_period_without_dates(spark):
     assert tuple(out) == ("a", None, None, 1)
 
 
-@pytest.mark.parametrize("days", [1, 62, 63, 64, 126, 127, 500])
+@pytest.mark.parametrize("days", [1, 62, 63, 64, 126, 127, 500, 504, 505, 2400, 32768, 70000])
 def test_day_bits_equal_distinct_count(spark, days):
-    first = dt.date(2024, 1, 1)
+    first = dt.date(1904, 1, 1)
     last = first + dt.timedelta(days=days - 1)
     df = spark.range(3000).select(
         (F.col("id") % 7).alias("Contract"),
@@ -130,6 +130,25 @@ def test_day_bits_equal_distinct_count(spark, days):
     assert rows(rfm.rfm_metrics(*args, period=(first, last))) == rows(rfm.rfm_metrics(*args))
 
 
+@pytest.mark.parametrize("years", [0, 4, 200])
+def test_a_date_outside_the_period_is_an_error(spark, years):
+    """For short and long periods alike."""
+    first, last = dt.date(1904, 1, 1), dt.date(1904 + years, 1, 31)
+    df = spark.createDataFrame([("a", 1, last), ("a", 1, None), ("a", 1, last + dt.timedelta(days=1))], "Contract string, TotalDuration bigint, Date date")
+    inside = df.where(F.col("Date").isNull() | (F.col("Date") == F.lit(last)))
+    assert rows(rfm.activeness(inside, "Contract", "Date", 1.0, period=(first, last))) == [("a", 1.0)]
+    with pytest.raises(Exception, match="date outside"):
+        rfm.activeness(df, "Contract", "Date", period=(first, last)).collect()
+
+
+def test_long_periods_need_one_exchange_and_merge(spark, edge):
+    period = (dt.date(1950, 1, 1), dt.date(2030, 1, 1))
+    counted = rfm.activeness(edge, "Contract", "Date", period=period)
+    assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    joined = layers.gold(layers.silver(edge, CONFIG), layers.rfm_table(edge, CONFIG), CONFIG)
+    assert rows(layers.gold_of(layers.profile(edge, CONFIG, period), CONFIG)) == rows(joined)
+
+
 def test_gold_from_profile_equals_join(edge):
     period = rfm.date_bounds(edge, "Date")
     profiled = layers.profile(edge, CONFIG, period)

@@ -1,48 +1,61 @@
 """Exact distinct-day counts without a distinct aggregation.
 
-A day of a known period is one bit of a small set of 63-bit words, so a group's set of days is a ``bit_or`` with fixed
-size buffers: it combines map-side and needs one exchange on the group key, where ``count_distinct`` needs two.
+A day of a known period is one bit of a small set, so a group's days are an ``or`` of sets that combines map-side and needs
+one exchange on the group key, where ``count_distinct`` needs two. Short periods take a few 63-bit words in fixed buffers,
+longer ones bitmaps of ``BITMAP_DAYS`` days each, as many as the period fills. Sets merge, so the days of all groups follow
+from the groups' own sets. A date outside the stated period is an error in both forms.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-WORD_BITS = 63
-MAX_WORDS = 8
+WORD_BITS, WORDS = 63, 8
+BITMAP_DAYS = 32768  # fixed value: bits of Spark's bitmap aggregates
 
 
-def word_count(first: dt.date, last: dt.date) -> int:
-    return (last - first).days // WORD_BITS + 1
+def _offset(date: Column, first: dt.date, last: dt.date) -> Column:
+    """Days since the first one; null dates stay null."""
+    offset = F.datediff(date, F.lit(first))
+    outside = F.raise_error(F.concat(F.lit(f"date outside {first}..{last}: "), date.cast("string"))).cast("int")
+    return F.when(offset.between(0, (last - first).days) | offset.isNull(), offset).otherwise(outside)
+
+
+def day_sets(date: Column, first: dt.date, last: dt.date) -> list[Column]:
+    """Aggregates whose results together hold the days of a group within ``first..last``: longs or bitmaps."""
+    offset, days = _offset(date, first, last), (last - first).days + 1
+    if days > WORD_BITS * WORDS:
+        chunk = F.call_function("div", offset, F.lit(BITMAP_DAYS))
+        chunks = range((days - 1) // BITMAP_DAYS + 1)
+        return [F.bitmap_construct_agg(F.when(chunk == k, offset - k * BITMAP_DAYS).cast("bigint")) for k in chunks]
+    sets = []
+    for index in range((days - 1) // WORD_BITS + 1):
+        bit = offset - index * WORD_BITS
+        in_word = F.when(bit.between(0, WORD_BITS - 1), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
+        sets.append(F.coalesce(F.bit_or(in_word), F.lit(0).cast("bigint")))
+    return sets
 
 
-def fits_words(first: dt.date, last: dt.date) -> bool:
-    """Whether the period is short enough for the bit form; longer ones use ``count_distinct``."""
-    return word_count(first, last) <= MAX_WORDS
+def is_bitmap(kind: T.DataType) -> bool:
+    return isinstance(kind, T.BinaryType)
 
 
-def day_words(date: Column, first: dt.date, last: dt.date) -> list[Column]:
-    """One ``bit_or`` aggregate per word over the days of ``first..last``.
+def uses_bitmaps(first: dt.date, last: dt.date) -> bool:
+    return (last - first).days + 1 > WORD_BITS * WORDS
 
-    A date outside the stated period raises an error: it would otherwise be counted wrongly. Null dates set no bit.
-    """
-    offset = F.datediff(date, F.lit(first))
-    length = (last - first).days
-    checked = F.when(
-        offset.between(0, length) | offset.isNull(), offset
-    ).otherwise(F.raise_error(F.concat(F.lit(f"date outside {first}..{last}: "), date.cast("string"))).cast("int"))
-    words = []
-    for index in range(word_count(first, last)):
-        bit = checked - index * WORD_BITS
-        in_word = F.when(bit.between(0, WORD_BITS - 1), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
-        words.append(F.coalesce(F.bit_or(in_word), F.lit(0).cast("bigint")))
-    return words
+
+def merged_set(days: Column, bitmap: bool) -> Column:
+    """Aggregate: the days that any of the sets holds."""
+    return F.bitmap_or_agg(days) if bitmap else F.bit_or(days)
 
 
-def days_in_words(words: list[Column]) -> Column:
-    """Number of days set in the words."""
-    return reduce(lambda left, right: left + right, [F.bit_count(word).cast("bigint") for word in words])
+def days_in_sets(sets: Sequence[Column], bitmap: bool) -> Column:
+    """Number of days in the sets."""
+    count = F.bitmap_count if bitmap else F.bit_count
+    return reduce(lambda left, right: left + right, [count(days).cast("bigint") for days in sets])

@@ -1,4 +1,4 @@
-from tierflow.operators.enrich import left_lookup
+from tierflow.operators.enrich import hot_key_lookup, left_lookup
 from tierflow.operators.pivot import category_pivot, conditional_pivot, grouped_pivot, ordered_by
 from tierflow.operators.quality import RULES, ColumnRule, QualityError, TableRules, check, enforce
 from tierflow.operators.ranking import argmax_column, ntile_exact, ntiles_exact, top_categories
@@ -17,6 +17,7 @@ __all__ = [
     "enforce",
     "exclude_code",
     "grouped_pivot",
+    "hot_key_lookup",
     "left_lookup",
     "ntile_exact",
     "ntiles_exact",

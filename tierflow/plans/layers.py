@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow import schemas
-from tierflow.functions.days import day_words, days_in_words, fits_words
+from tierflow.functions.days import day_sets, days_in_sets, is_bitmap, merged_set
 from tierflow.functions.recode import add_category, recode, usable_rows
 from tierflow.operators import rfm
 from tierflow.operators.pivot import category_pivot, pivot_sums
@@ -88,9 +88,8 @@ def summary(rows: DataFrame, config: LayerConfig, period: rfm.Period | None = No
     )
     usable = usable_rows(config.key, config.junk_keys, "__type", config.default, config.measure)
     label = F.when(usable, F.col("__type"))
-    if period is not None and fits_words(*period):
-        words = day_words(F.col(config.date), *period)
-        days = [word.alias(f"__word{i}") for i, word in enumerate(words)]
+    if period is not None:
+        days = [held.alias(f"__days_{i}") for i, held in enumerate(day_sets(F.col(config.date), *period))]
     else:
         days = [F.count_distinct(config.date).alias("__days")]
     return typed.groupBy(config.key).agg(
@@ -105,12 +104,14 @@ def summary(rows: DataFrame, config: LayerConfig, period: rfm.Period | None = No
 
 def metrics_of(summed: DataFrame, rows: DataFrame, config: LayerConfig) -> DataFrame:
     """The rfm metrics beside the other columns of a materialised summary."""
-    words = [F.col(name) for name in summed.columns if name.startswith("__word")]
-    days = days_in_words(words) if words else F.col("__days")
+    sets = [name for name in summed.columns if name.startswith("__days_")]
+    bitmap = bool(sets) and is_bitmap(summed.schema[sets[0]].dataType)
+    days = days_in_sets([F.col(name) for name in sets], bitmap) if sets else F.col("__days")
     if config.total_days is not None:
         total = F.lit(config.total_days)
-    elif words:
-        total = summed.agg(days_in_words([F.bit_or(word) for word in words]).alias("n")).scalar()
+    elif sets:
+        merged = summed.agg(*[merged_set(F.col(name), bitmap).alias(name) for name in sets])
+        total = merged.select(days_in_sets([F.col(name) for name in sets], bitmap).alias("n")).scalar()
     else:
         # One number, and the profile is read several times: count it once instead of in every plan.
         total = F.lit(rfm.period_days(_population(rows, config), config.date).first()[0])

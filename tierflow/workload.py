@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tierflow import schemas
 from tierflow.functions.recode import recode_with_table
 from tierflow.operators import pivot, quality, ranking, rfm
-from tierflow.operators.enrich import left_lookup
+from tierflow.operators.enrich import hot_key_lookup, left_lookup
 from tierflow.plans import layers
 from tierflow.plans.config import LayerConfig
 from tierflow.plans.player_log import player_sessions
@@ -205,14 +205,14 @@ def recode_usable_rows(spark, sf_dir):
     "recode_by_table",
     """
 SELECT o_orderkey, coalesce(c_mktsegment, 'Unknown') AS segment
-FROM orders LEFT JOIN customer ON o_orderkey = c_custkey
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey
 """,
 )
 def recode_by_table(spark, sf_dir):
-    """Recoding through a mapping table: key to market segment; most order keys are no customer key and become unknown."""
+    """Recoding through a mapping table: customer key to market segment."""
     mapping = table(spark, sf_dir, "customer")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    return recode_with_table(orders, "o_orderkey", mapping, "c_custkey", "c_mktsegment", "segment")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return recode_with_table(orders, "o_custkey", mapping, "c_custkey", "c_mktsegment", "segment").select("o_orderkey", "segment")
 
 
 @query("date_range_scan", f"""SELECT * FROM ({BRONZE_SQL}) b WHERE "Date" BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'""")
@@ -308,8 +308,9 @@ def rfm_metrics_events(spark, sf_dir):
 
 @query("rfm_metrics_customers", metrics_sql(ORDERS_SQL, "2001-08-02"))
 def rfm_metrics_customers(spark, sf_dir):
-    """Six years of days: counted as distinct values."""
-    return rfm.rfm_metrics(customer_orders(spark, sf_dir), "Contract", "Date", "TotalDuration", ORDER_REPORT_DATE)
+    """Six years of days: held in bitmaps."""
+    rows = customer_orders(spark, sf_dir)
+    return rfm.rfm_metrics(rows, "Contract", "Date", "TotalDuration", ORDER_REPORT_DATE, period=rfm.date_bounds(rows, "Date"))
 
 
 @query("rfm_metrics_fixed_period", metrics_sql(BRONZE_SQL, "2024-02-01", total="30"))
@@ -331,6 +332,19 @@ def activeness(spark, sf_dir):
     return rfm.activeness(rows, "Contract", "Date", period=rfm.date_bounds(rows, "Date"))
 
 
+@query(
+    "activeness_customers",
+    f"""
+SELECT "Contract", CAST(count(DISTINCT "Date") / CAST(2405 AS DOUBLE) AS FLOAT) AS "Activeness"
+FROM ({ORDERS_SQL}) o GROUP BY "Contract"
+""",
+)
+def activeness_customers(spark, sf_dir):
+    """Share of the days of six years on which a customer ordered, with one exchange on the customer."""
+    rows = customer_orders(spark, sf_dir)
+    return rfm.activeness(rows, "Contract", "Date", days=2405, period=rfm.date_bounds(rows, "Date"))
+
+
 @query("rfm_scores_global", EVENT_SCORES_SQL)
 def rfm_scores_global(spark, sf_dir):
     rows = bronze_events(spark, sf_dir)
@@ -339,7 +353,7 @@ def rfm_scores_global(spark, sf_dir):
 
 @query("rfm_scores_exact", scores_sql(metrics_sql(ORDERS_SQL, "2001-08-02")))
 def rfm_scores_exact(spark, sf_dir):
-    """Bucket ends selected by narrowing, as for tables whose keys exceed one task."""
+    """Scores over six years of orders."""
     metrics = materialize(rfm_metrics_customers(spark, sf_dir))
     return rfm.score(metrics, "Contract")
 
@@ -449,14 +463,30 @@ def rfm_code_columns(spark, sf_dir):
     "user_lookup_left",
     """
 SELECT event_id, user_id, event_type, c_name, c_mktsegment
-FROM events LEFT JOIN customer ON event_id = c_custkey
+FROM events LEFT JOIN customer ON user_id = c_custkey
 """,
 )
 def user_lookup_left(spark, sf_dir):
-    """Left lookup in the whole table by a key that it holds for some rows only."""
+    """Left lookup in the whole table by the repeated user key."""
     users = table(spark, sf_dir, "customer")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    return left_lookup(events, users, "event_id", "c_custkey", ["c_name", "c_mktsegment"])
+    return left_lookup(events, users, "user_id", "c_custkey", ["c_name", "c_mktsegment"])
+
+
+@query(
+    "hot_user_lookup",
+    """
+SELECT event_id, payer, c_name, c_mktsegment
+FROM (SELECT event_id, CASE WHEN event_type = 'view' THEN 1 WHEN event_type <> 'click' THEN user_id END AS payer FROM events) e
+LEFT JOIN customer ON payer = c_custkey
+""",
+)
+def hot_user_lookup(spark, sf_dir):
+    """Lookup by a key that stands for one user in all views and is missing for clicks: both are dealt over several tasks."""
+    users = table(spark, sf_dir, "customer")
+    payer = F.when(F.col("event_type") == "view", F.lit(1).cast("bigint")).when(F.col("event_type") != "click", F.col("user_id"))
+    events = table(spark, sf_dir, "events").select("event_id", payer.alias("payer"))
+    return hot_key_lookup(events, users, "payer", "c_custkey", ["c_name", "c_mktsegment"])
 
 
 # ---------------------------------------------------------------------------------------------------------------------
