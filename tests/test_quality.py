@@ -104,3 +104,35 @@ def test_quarantine_follows_the_mode_of_its_table(spark, frame):
     good = spark.table("quarantine_modes.t").limit(1)
     publish(lake, spark.createDataFrame(good.collect(), good.schema), "t", rules=RULE, policy="quarantine")
     assert count() == 0
+
+
+def test_publish_counts_rules_while_writing(spark, tmp_path, monkeypatch):
+    """No scan for the audit: neither of the input nor of the files. Good tables, bad ones and empty ones alike."""
+    from tierflow.operators import quality
+    from tierflow.sinks import Lake, Layout, publish
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    plain = spark.range(0, 1000, 1, 7).selectExpr("id", "CAST(id % 3 AS INT) AS part", "IF(id % 10 = 0, NULL, id) AS v")
+    rows_in = plain.mapInArrow(once, "id long, part int, v long")
+    rules = quality.TableRules.from_schema("t", rows_in.schema, ranges={"id": (0, 900)}, required=("v",))
+    want = {(r["column"], r["rule"]): r["failures"] for r in quality.check(plain, rules).collect()}
+    lake = Lake(spark, str(tmp_path / "lake"), database="audited")
+    with monkeypatch.context() as patch:
+        patch.setattr(quality, "audit", lambda *_: pytest.fail("the audit read the table again"))
+        for layout in (None, Layout(compact=True)):
+            with pytest.raises(quality.QualityError) as error:
+                publish(lake, rows_in, "t", rules=rules, partition_by=["part"], layout=layout)
+            assert {(c, r): n for c, r, n in error.value.failures} == {k: n for k, n in want.items() if n}
+        assert lake.snapshot("t") is None
+        reads.value = 0
+        assert publish(lake, rows_in, "t", rules=rules, policy="warn", partition_by=["part"]).rows == 1000
+        assert reads.value == 1000
+        good = quality.TableRules.from_schema("t", rows_in.schema, ranges={"id": (0, 1000)})
+        assert publish(lake, rows_in, "t", rules=good).rows == 1000
+    assert publish(lake, plain.where("id < 0"), "t", rules=rules).rows == 0

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,35 +94,35 @@ def _violations(df: DataFrame, rules: TableRules) -> list[tuple[str, str, Column
     return found
 
 
-def _counted(df: DataFrame, rules: TableRules) -> tuple[DataFrame, list[tuple[str, str, Column]]]:
-    """One row of counts, and each rule's failures in terms of it.
+def _counts(df: DataFrame, rules: TableRules) -> tuple[list[Column], list[tuple[str, str, str | None]]]:
+    """Aggregates over the rows, and each rule with the name of the one that counts its failures (``None``: there are none).
 
     Rules the schema decides need no data: a table with only such rules is checked by its row count.
     """
     structural = set(_structural(df, rules))
     counts = [F.count(F.lit(1)).alias("rows")]
-    lines: list[tuple[str, str, Column]] = []
+    lines: list[tuple[str, str, str | None]] = []
     for index, (column, rule, bad) in enumerate(_violations(df, rules)):
         if (column, rule) in structural:
-            lines.append((column, rule, F.col("rows")))
+            lines.append((column, rule, "rows"))
         elif rule == "type":
-            lines.append((column, rule, F.lit(0).cast("bigint")))
+            lines.append((column, rule, None))
         else:
             counts.append(F.count_if(bad).alias(f"f{index}"))
-            lines.append((column, rule, F.col(f"f{index}")))
-    return df.agg(*counts), lines
+            lines.append((column, rule, f"f{index}"))
+    return counts, lines
 
 
 def check(df: DataFrame, rules: TableRules) -> DataFrame:
     """``(table, column, rule, failures, rows)``, every rule counted in the same scan."""
-    counted, found = _counted(df, rules)
+    counts, found = _counts(df, rules)
     lines = F.array(
         *[
-            F.struct(F.lit(column).alias("column"), F.lit(rule).alias("rule"), failures.alias("failures"))
-            for column, rule, failures in found
+            F.struct(F.lit(column).alias("column"), F.lit(rule).alias("rule"), (F.col(name) if name else F.lit(0).cast("bigint")).alias("failures"))
+            for column, rule, name in found
         ]
     )
-    return counted.select(F.lit(rules.table).alias("table"), F.inline(lines), "rows")
+    return df.agg(*counts).select(F.lit(rules.table).alias("table"), F.inline(lines), "rows")
 
 
 def is_valid(df: DataFrame, rules: TableRules) -> Column:
@@ -148,29 +148,53 @@ POLICIES = ("fail", "quarantine", "warn")
 
 @dataclass(frozen=True)
 class Audit:
-    """Row count and broken rules of a checked table; one entry per rule at most."""
+    """Row count and failures of every rule of a checked table."""
 
     rows: int
-    failures: list[tuple[str, str, int]]
+    counts: list[tuple[str, str, int]]
+
+    @property
+    def failures(self) -> list[tuple[str, str, int]]:
+        """The broken rules."""
+        return [count for count in self.counts if count[2]]
+
+
+def _audit_of(row: Mapping[str, int], lines: Sequence[tuple[str, str, str | None]]) -> Audit:
+    return Audit(row["rows"], [(column, rule, row[name] if name else 0) for column, rule, name in lines])
 
 
 def audit(df: DataFrame, rules: TableRules) -> Audit:
     """Run a check; the driver receives one row."""
-    counted, lines = _counted(df, rules)
-    row = counted.select("rows", *[failures.alias(f"c{i}") for i, (_, _, failures) in enumerate(lines)]).first()
-    broken = [(column, rule, row[f"c{i}"]) for i, (column, rule, _) in enumerate(lines) if row[f"c{i}"]]
-    return Audit(row["rows"], broken)
+    counts, lines = _counts(df, rules)
+    return _audit_of(df.agg(*counts).first().asDict(), lines)
+
+
+def audited(df: DataFrame, rules: TableRules) -> tuple[DataFrame, Callable[[], Audit | None]]:
+    """``df`` with the rules counted by the job that consumes it, and a call that gives the audit after that job.
+
+    The job has to run on just this frame, once. The call gives ``None`` if the job needed no row of it.
+    """
+    counts, lines = _counts(df, rules)
+    seen = Observation()
+
+    def result() -> Audit | None:
+        row = seen.get
+        return _audit_of(row, lines) if "rows" in row else None
+
+    return df.observe(seen, *counts), result
 
 
-def enforce(df: DataFrame, rules: TableRules, policy: str = "fail") -> tuple[DataFrame, DataFrame | None, Audit]:
+def enforce(
+    df: DataFrame, rules: TableRules, policy: str = "fail", found: Audit | None = None
+) -> tuple[DataFrame, DataFrame | None, Audit]:
     """Check a materialised frame and apply the policy: ``(rows to publish, quarantined rows or None, audit)``.
 
     ``fail`` raises, ``quarantine`` sets the bad rows apart, ``warn`` keeps them. A column that is missing or has another
-    type always raises: no row of such a table could be kept.
+    type always raises: no row of such a table could be kept. ``found`` is the audit, if it was already made.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy {policy!r} is none of {POLICIES}")
-    found = audit(df, rules)
+    found = found or audit(df, rules)
     structural = _structural(df, rules)
     if structural or (found.failures and policy == "fail"):
         raise QualityError(rules.table, found.failures or [(column, rule, found.rows) for column, rule in structural])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -70,10 +70,13 @@ def write_files(
     layout: Layout | None = None,
     rows: int | None = None,
     size: int | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write ``df`` as zstd files; partitioned tables get about one file per partition and ``target_bytes``.
 
     ``rows`` and ``size`` of a stored input let clustering skip measuring it; without them the input is staged first.
+    ``watch`` is put on the rows as the writing tasks see them, after any exchange, so that a repeated stage counts no row
+    twice.
     """
     layout = layout or Layout()
     spark = df.sparkSession
@@ -93,7 +96,7 @@ def write_files(
         out = df.hint("rebalance", *partition_by)
     else:
         out, settings = df, {}
-    writer = out.write.format(fmt).option("compression", "zstd").mode("overwrite")
+    writer = (watch(out) if watch else out).write.format(fmt).option("compression", "zstd").mode("overwrite")
     if layout.max_records:
         writer = writer.option("maxRecordsPerFile", layout.max_records)
     if partition_by:
@@ -141,7 +144,7 @@ def publish(
 ) -> Snapshot:
     """Write ``df`` as the next snapshot of a table, audit what was written, then make it the current one.
 
-    The audit is one column-pruned scan of the new files. Under the ``fail`` policy a broken rule raises and the table
+    The rules are counted by the job that writes the files, which are not read again for it. Under the ``fail`` policy a broken rule raises and the table
     stays as it was; under ``quarantine`` the bad rows go to ``<table>_quarantine``, which holds those of the
     rows now published: an append adds to it, an overwrite replaces it, be it by nothing. ``append`` adds the rows to those
     already published. A change of columns needs ``evolve``; when appending, columns missing on either side are null.
@@ -169,17 +172,25 @@ def publish(
     # Clustering reads its input more than once, so rows that are not yet stored are staged first.
     staging = layout is not None and bool(layout.cluster_by) and stored is None
     first = f"{path}-stage" if staging else path
+    audits: list[Callable[[], quality.Audit | None]] = []
+
+    def watch(out: DataFrame) -> DataFrame:
+        observed, result = quality.audited(out, rules)
+        audits.append(result)
+        return observed
+
+    watched = watch if rules is not None else None
     if staging:
-        write_files(_aligned(df, schema), first, lake.format)
+        write_files(_aligned(df, schema), first, lake.format, watch=watched)
     else:
         rows, size = stored or (None, None)
-        write_files(_aligned(df, schema), first, lake.format, partition_by, layout, rows, size)
+        write_files(_aligned(df, schema), first, lake.format, partition_by, layout, rows, size, watched)
 
     written = read_paths(spark, [first], schema, lake.format)
     valid, invalid, added = written, None, None
     if rules is not None:
         try:
-            valid, invalid, audit = quality.enforce(written, rules, policy)
+            valid, invalid, audit = quality.enforce(written, rules, policy, audits[-1]())
         except quality.QualityError:
             delete_path(spark, first)
             raise

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow import schemas
 from tierflow.functions.recode import recode_with_table
@@ -21,7 +22,7 @@ from tierflow.plans import layers
 from tierflow.plans.config import LayerConfig
 from tierflow.plans.player_log import player_sessions
 from tierflow.plans.run import run
-from tierflow.runtime import materialize, scratch_path
+from tierflow.runtime import local_frame, materialize, scratch_path
 from tierflow.sinks import catalog, maintenance
 from tierflow.sinks import snapshots as sink
 from tierflow.sinks.lake import Lake, read_snapshot
@@ -643,18 +644,34 @@ SELECT 'bronze' AS "table", '{column}' AS "column", '{rule}' AS "rule", count(*)
        count(*) AS "rows" FROM ({BRONZE_SQL}) b"""
 
 
-@query(
-    "quality_report",
-    " UNION ALL ".join(
-        [_rule_sql(name, "type", "false") for name in schemas.BRONZE.fieldNames()]
-        + [_rule_sql(name, "not_null", f'"{name}" IS NULL') for name in ("Contract", "Date")]
-        + [_rule_sql("TotalDuration", "in_range", '"TotalDuration" < 100 OR "TotalDuration" > 20000')]
-    ),
+QUALITY_SQL = " UNION ALL ".join(
+    [_rule_sql(name, "type", "false") for name in schemas.BRONZE.fieldNames()]
+    + [_rule_sql(name, "not_null", f'"{name}" IS NULL') for name in ("Contract", "Date")]
+    + [_rule_sql("TotalDuration", "in_range", '"TotalDuration" < 100 OR "TotalDuration" > 20000')]
 )
+
+
+@query("quality_report", QUALITY_SQL)
 def quality_report(spark, sf_dir):
     return quality.check(bronze_events(spark, sf_dir), EVENT_RULES)
 
 
+@query("audit_of_write", QUALITY_SQL)
+def audit_of_write(spark, sf_dir):
+    """The same counts, taken by the job that writes the table by date; the files are not read for them."""
+    found = []
+
+    def watch(rows):
+        observed, result = quality.audited(rows, EVENT_RULES)
+        found.append(result)
+        return observed
+
+    sink.write_files(bronze_events(spark, sf_dir), scratch_path(spark, "audited"), partition_by=["Date"], watch=watch)
+    audit = found[0]()
+    lines = [(EVENT_RULES.table, *count, audit.rows) for count in audit.counts]
+    return local_frame(spark, lines, T.StructType.fromDDL("`table` string, `column` string, `rule` string, `failures` bigint, `rows` bigint"))
+
+
 @query(
     "quarantine_rows",
     f"""
