@@ -97,3 +97,28 @@ def test_proximity(spark):
     index = decontamination.Index(docs, tests, phrases_only=False)
     found = decontamination.proximity_matches(index, tests, slack=3).join(index.documents, "uid")
     assert [(r["id"], r["start"], r["end"]) for r in found.collect()] == [(1, 0, 5)]
+
+
+def test_proximity_sweeps_all_postings(spark):
+    """Against a plain search, with terms on both sides of the rarest one and repeated terms."""
+    import random
+
+    rnd = random.Random(5)
+    texts = [(0, "b x a x x b c")] + [(i, " ".join(rnd.choice("aabbccxyz") for _ in range(rnd.randint(0, 25)))) for i in range(1, 60)]
+    terms, slack = ("a", "b", "c"), 2
+    tests = decontamination.TestSet(spark.createDataFrame([(1, "a b c")], "item_id long, text string"))
+    index = decontamination.Index(spark.createDataFrame(texts, "doc_id long, text string"), tests, phrases_only=False)
+    got = {}
+    for r in decontamination.proximity_matches(index, tests, slack).join(index.documents, "uid").collect():
+        got.setdefault(r["id"], set()).add((r["start"], r["end"]))
+    counts = {t: sum(text.split().count(t) for _, text in texts) for t in terms}
+    rare = min(terms, key=lambda t: (counts[t], terms.index(t)))
+    want = {}
+    for key, text in texts:
+        words = text.split()
+        for anchor in (i for i, w in enumerate(words) if w == rare):
+            found = [(e - s, s, e) for s in range(anchor + 1) for e in range(anchor + 1, len(words) + 1)
+                     if e - s <= len(terms) + slack and words[s] in terms and set(terms) <= set(words[s:e])]
+            if found:
+                want.setdefault(key, set()).add(min(found)[1:])
+    assert got == want and got[0] == {(2, 7)}

@@ -160,8 +160,9 @@ def phrase_matches(index: Index, tests: TestSet) -> DataFrame:
 def proximity_matches(index: Index, tests: TestSet, slack: int) -> DataFrame:
     """``(sid, uid, start, end)``: places where all terms of a window occur, in any order, within its length plus ``slack`` words.
 
-    ``start`` and ``end`` bound the nearest such postings around one of the window's rarest term. Needs an index of all test
-    terms (``phrases_only=False``); a term that a window has twice may be met by one posting.
+    For every posting of a window's rarest term: the shortest such place with it (the first of equally short ones). All
+    postings in reach are swept, from each of them on the nearest one of every term. Needs an index of all test terms
+    (``phrases_only=False``); a term that a window has twice may be met by one posting.
     """
     ranked = materialize(_ranked(index, tests), "ranked")
     anchor = ranked.where("rank = 1").join(index.postings, "term").select("sid", "n", "uid", F.col("position").alias("anchor"))
@@ -171,15 +172,16 @@ def proximity_matches(index: Index, tests: TestSet, slack: int) -> DataFrame:
     others = ranked.select("sid", F.col("n").alias("m"), "term").distinct().join(index.postings, "term")
     others = others.withColumn("cell", F.floor(F.col("position") / (F.col("m") + F.lit(slack))))
     near = asked.join(others, ["sid", "uid", "cell"]).where(F.abs(F.col("position") - F.col("anchor")) < reach)
-    spots = near.groupBy("sid", "n", "uid", "anchor", "term").agg(
-        F.min(F.struct(F.abs(F.col("position") - F.col("anchor")).alias("gap"), "position")).alias("best")
-    )
+    near = materialize(near.select("sid", "uid", "anchor", "n", "term", "position"), "near")
+    place = ["sid", "uid", "anchor"]
+    starts = near.where(F.col("position") <= F.col("anchor")).select(*place, F.col("position").alias("start"))
+    swept = starts.join(near, place).where((F.col("position") >= F.col("start")) & (F.col("position") < F.col("start") + reach))
+    nearest = swept.groupBy(*place, "n", "start", "term").agg(F.min("position").alias("position"))
+    spans = nearest.groupBy(*place, "n", "start").agg(F.count("*").alias("found"), F.greatest(F.max("position") + 1, F.col("anchor") + 1).alias("end"))
     kinds = ranked.groupBy("sid").agg(F.count_distinct("term").alias("kinds"))
-    bounds = spots.groupBy("sid", "n", "uid", "anchor").agg(
-        F.count("*").alias("found"), F.min("best.position").alias("start"), (F.max("best.position") + 1).alias("end")
-    )
-    bounds = bounds.join(kinds, "sid").where((F.col("found") == F.col("kinds")) & (F.col("end") - F.col("start") <= F.col("n") + F.lit(slack)))
-    return bounds.select("sid", "uid", "start", "end").distinct()
+    spans = spans.join(kinds, "sid").where((F.col("found") == F.col("kinds")))
+    best = spans.groupBy(*place).agg(F.min(F.struct((F.col("end") - F.col("start")).alias("span"), "start", "end")).alias("best"))
+    return best.select("sid", "uid", "best.start", "best.end").distinct()
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
