@@ -1,3 +1,4 @@
+from tierflow.sinks.buckets import save_bucketed, save_layers_bucketed
 from tierflow.sinks.catalog import (
     create_table,
     create_view,
@@ -29,6 +30,8 @@ __all__ = [
     "read_snapshot",
     "register_layers",
     "register_temp_view",
+    "save_bucketed",
+    "save_layers_bucketed",
     "vacuum",
     "zorder",
 ]

@@ -23,6 +23,7 @@ from tierflow.plans.config import LayerConfig
 from tierflow.plans.player_log import player_sessions
 from tierflow.plans.run import run
 from tierflow.runtime import local_frame, materialize, scratch_path
+from tierflow.sinks.buckets import save_layers_bucketed
 from tierflow.sinks import catalog, maintenance
 from tierflow.sinks import snapshots as sink
 from tierflow.sinks.lake import Lake, read_snapshot
@@ -412,6 +413,16 @@ def gold_join(spark, sf_dir):
     return layers.gold(layers.silver(rows, EVENTS), layers.rfm_table(rows, EVENTS), EVENTS)
 
 
+@query("bucketed_gold_join", GOLD_SQL)
+def bucketed_gold_join(spark, sf_dir):
+    """The same from silver and rfm tables that are stored in buckets of the key: the join reads them side by side."""
+    rows = bronze_events(spark, sf_dir)
+    lake = new_lake(spark)
+    built = {"silver": layers.silver(rows, EVENTS), "rfm": layers.rfm_table(rows, EVENTS, rfm.date_bounds(rows, "Date"))}
+    stored = save_layers_bucketed(spark, lake.database, lake.base, built, EVENTS.key, buckets=8)
+    return layers.gold(stored["silver"], stored["rfm"], EVENTS)
+
+
 @query(
     "silver_activeness",
     f"""
