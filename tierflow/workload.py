@@ -564,19 +564,18 @@ def json_corrupt_lines(spark, sf_dir):
     )
 
 
-_PLAYER_LOG_SQL = """
+PLAYER_LOG_SQL = """
 SELECT 'M' || CAST(user_id AS VARCHAR) AS "Mac", strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS "SessionMainMenu",
        CAST(event_id AS VARCHAR) AS "LogId",
-       {event} AS "Event",
+       CASE WHEN event_type = 'error' THEN 'it''s a "' || event_type || '"' ELSE event_type END AS "Event",
        CASE WHEN event_type = 'view' THEN NULL ELSE props END AS "ItemId",
        CASE WHEN event_type = 'click' THEN 'true' ELSE 'false' END AS "RealTimePlaying"
 FROM events
 """
-_QUOTED_EVENT_SQL = """CASE WHEN event_type = 'error' THEN 'it''s a "' || event_type || '"' ELSE event_type END"""
 
 
-def _write_player_log(spark, sf_dir, escapes=True) -> str:
-    """The events as dictionary-literal lines with bare words and integers; with ``escapes`` also quotes in strings."""
+def _write_player_log(spark, sf_dir) -> str:
+    """The events as dictionary-literal lines with bare words, quotes in strings, integers and escapes."""
     events = table(spark, sf_dir, "events")
     mac = F.concat(F.lit("M"), F.col("user_id").cast("string"))
     session = F.concat(mac, F.lit(":"), F.date_format("ts", "yyyy:MM:dd:HH:mm:ss:SSS"))
@@ -585,7 +584,7 @@ def _write_player_log(spark, sf_dir, escapes=True) -> str:
         F.lit("{'Mac': '"), mac,
         F.lit("', 'SessionMainMenu': '"), session,
         F.lit("', 'LogId': "), F.col("event_id").cast("string"),
-        F.lit(", 'Event': '"), F.coalesce(event, "event_type") if escapes else F.col("event_type"),
+        F.lit(", 'Event': '"), F.coalesce(event, "event_type"),
         F.lit("', 'ItemId': "),
         F.when(F.col("event_type") == "view", "None").otherwise(F.concat(F.lit("'"), "props", F.lit("'"))),
         F.lit(", 'RealTimePlaying': "), F.when(F.col("event_type") == "click", "True").otherwise("False"),
@@ -606,7 +605,7 @@ def _write_user_info(spark, sf_dir, lead="ABCD") -> str:
     return path
 
 
-@query("literal_lines_parse", _PLAYER_LOG_SQL.format(event=_QUOTED_EVENT_SQL))
+@query("literal_lines_parse", PLAYER_LOG_SQL)
 def literal_lines_parse(spark, sf_dir):
     """Dictionary-literal lines with bare words, quotes in strings, integers and escapes."""
     shown = F.date_format("SessionMainMenu", "yyyy-MM-dd HH:mm:ss.SSS")
@@ -628,16 +627,12 @@ def keyed_tsv_parse(spark, sf_dir):
     "player_log_job",
     f"""
 SELECT l.*, CASE WHEN c_acctbal > 0 THEN c_nationkey END AS "Days"
-FROM ({_PLAYER_LOG_SQL.format(event="event_type")}) l LEFT JOIN customer ON "Mac" = 'M' || CAST(c_custkey AS VARCHAR)
+FROM ({PLAYER_LOG_SQL}) l LEFT JOIN customer ON "Mac" = 'M' || CAST(c_custkey AS VARCHAR)
 """,
 )
 def player_log_job(spark, sf_dir):
-    """Literal lines and key/value lines, joined on the box; boxes without a readable value keep a null.
-
-    All lines are plain, so the job runs without Python workers; ``literal_lines_parse`` has lines that need them.
-    """
-    log, info = _write_player_log(spark, sf_dir, escapes=False), _write_user_info(spark, sf_dir, "ABCDM")
-    sessions = player_sessions(spark, log, info, fallback=False)
+    """Literal lines, escaped ones among them, and key/value lines, joined on the box; boxes without a readable value keep a null."""
+    sessions = player_sessions(spark, _write_player_log(spark, sf_dir), _write_user_info(spark, sf_dir, "ABCDM"))
     return sessions.withColumn("SessionMainMenu", F.date_format("SessionMainMenu", "yyyy-MM-dd HH:mm:ss.SSS"))
 
 
