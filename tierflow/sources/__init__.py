@@ -1,5 +1,13 @@
 from tierflow.sources.json_logs import date_from_path, flatten_hits, read_json_logs, split_corrupt
-from tierflow.sources.tables import catalog_table, in_date_range, partition_paths, read_date_range, read_table
+from tierflow.sources.json_variant import infer_json_lines
+from tierflow.sources.tables import (
+    catalog_table,
+    in_date_range,
+    on_days,
+    partition_paths,
+    read_date_range,
+    read_table,
+)
 from tierflow.sources.text_logs import (
     parse_keyed_tsv,
     parse_literal_lines,
@@ -14,6 +22,8 @@ __all__ = [
     "date_from_path",
     "flatten_hits",
     "in_date_range",
+    "infer_json_lines",
+    "on_days",
     "parse_keyed_tsv",
     "parse_literal_lines",
     "partition_paths",

@@ -51,6 +51,15 @@ def in_date_range(df: DataFrame, first: dt.date | str, last: dt.date | str, date
     return df.filter(F.col(date).between(F.lit(low), F.lit(high)))
 
 
+def on_days(df: DataFrame, calendar: DataFrame, day: str = "day", date: str = "Date") -> DataFrame:
+    """Rows of the days that a (filtered) calendar table names; rows without a date and repeated days add nothing.
+
+    On a table partitioned by the date, the calendar's days prune its partitions when the query runs: Spark reads the
+    calendar first if it broadcasts it for the join, which is its own choice by size.
+    """
+    return df.join(calendar.select(F.col(day).alias(date)), date, "left_semi").select(*df.columns)
+
+
 def partition_paths(
     spark: SparkSession, root: str, first: dt.date | str, last: dt.date | str, date: str = "Date", fmt: str = "parquet"
 ) -> DataFrame:

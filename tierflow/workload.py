@@ -30,6 +30,8 @@ from tierflow.sinks.lake import Lake, read_snapshot
 from tierflow.sources import (
     catalog_table,
     flatten_hits,
+    infer_json_lines,
+    on_days,
     parse_keyed_tsv,
     read_date_range,
     read_json_logs,
@@ -547,6 +549,41 @@ def json_inferred_schema(spark, sf_dir):
     return flatten_hits(hits, **HIT_FLATTEN).select("Id", "AppName", "Contract", "TotalDuration", "Date")
 
 
+@query(
+    "json_variant_schema",
+    """
+SELECT CAST(event_id AS VARCHAR) AS "Id", CAST(user_id AS BIGINT) AS "Contract",
+       CASE event_type WHEN 'view' THEN CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)
+                       WHEN 'click' THEN 'n/a'
+                       WHEN 'purchase' THEN '{"cents":' || CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || '}'
+       END AS "Total",
+       CASE event_type WHEN 'signup' THEN event_type END AS "Tag", CAST(NULL AS VARCHAR) AS "_corrupt_record"
+FROM events WHERE event_type <> 'error'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, left('{"Id":"' || CAST(event_id AS VARCHAR) || '","Contract":', 10)
+FROM events WHERE event_type = 'error'
+""",
+)
+def json_variant_schema(spark, sf_dir):
+    """Lines of four shapes: one field is a number, a text, an object or absent; lines of errors are cut."""
+    rows = bronze_events(spark, sf_dir)
+    of_type = {name: F.col("AppName") == name for name in ("view", "click", "purchase", "signup", "error")}
+    known = F.struct("Id", F.col("Contract").cast("bigint").alias("Contract"))
+    cents = F.col("TotalDuration")
+    line = (
+        F.when(of_type["view"], F.to_json(F.struct(known["Id"], known["Contract"], cents.alias("Total"))))
+        .when(of_type["click"], F.to_json(F.struct(known["Id"], known["Contract"], F.lit("n/a").alias("Total"))))
+        .when(of_type["purchase"], F.to_json(F.struct(known["Id"], known["Contract"], F.struct(cents.alias("cents")).alias("Total"))))
+        .when(of_type["signup"], F.to_json(F.struct(known["Id"], known["Contract"], F.array("AppName").alias("Tags"))))
+        .otherwise(F.left(F.to_json(known), F.lit(10)))
+    )
+    path = scratch_path(spark, "shapes")
+    rows.select(line.alias("value")).write.text(path)
+    found = infer_json_lines(spark, path, glob="part-*")
+    tag = F.array_join("Tags", ",").alias("Tag")
+    return found.select("Id", "Contract", "Total", tag, schemas.CORRUPT_COLUMN)
+
+
 @query(
     "json_corrupt_lines",
     f"""
