@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierflow.runtime import path_exists
+from tierflow.runtime import local_frame, path_exists
 from tierflow.sinks.lake import Lake, Snapshot
 
 
@@ -50,6 +51,44 @@ def create_table(
     return spark.table(name)
 
 
+def external_table(
+    spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+) -> DataFrame:
+    """A catalog table over files that are already there, replacing one of that name; the files stay when it is dropped.
+
+    Columns come from the files, and the partitions on disk are entered into the catalog, so that later queries plan from
+    the catalog instead of listing the whole folder.
+    """
+    fields = spark.read.format(fmt).load(path).schema.fields
+    return create_table(spark, name, [(f.name, f.dataType.simpleString()) for f in fields], path, partition_by, fmt, replace=True)
+
+
+def sync_partitions(spark: SparkSession, name: str) -> None:
+    """Enter partitions that were added on disk into the catalog, and take out those that are gone."""
+    spark.sql(f"MSCK REPAIR TABLE {quoted(name)} SYNC PARTITIONS")
+
+
+def analyze(spark: SparkSession, name: str, columns: Sequence[str] = ()) -> None:
+    """Store row count, size and column statistics of a table (all columns by default) for the planner; one scan."""
+    which = f"COLUMNS {', '.join(quoted(c) for c in columns)}" if columns else "ALL COLUMNS"
+    spark.sql(f"ANALYZE TABLE {quoted(name)} COMPUTE STATISTICS FOR {which}")
+
+
+def column_statistics(spark: SparkSession, name: str, columns: Sequence[str]) -> DataFrame:
+    """The stored statistics: per column ``least`` and ``greatest`` as text, ``nulls`` and an estimate of ``distinct``.
+
+    Nothing of the table is read. Null where nothing was stored; texts have no least and greatest value.
+    """
+    lines = []
+    for column in columns:
+        facts = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {quoted(name)} {quoted(column)}").collect()}
+        known = {key: value for key, value in facts.items() if value not in (None, "NULL")}
+        counts = [int(known[key]) if key in known else None for key in ("num_nulls", "distinct_count")]
+        lines.append((column, known.get("min"), known.get("max"), *counts))
+    schema = T.StructType.fromDDL("`column` string, `least` string, `greatest` string, `nulls` bigint, `distinct` bigint")
+    return local_frame(spark, lines, schema)
+
+
 def create_view(lake: Lake, snapshot: Snapshot, complete: Sequence[str] = ()) -> str:
     """Point the table's view at a snapshot; returns the view's name.
 

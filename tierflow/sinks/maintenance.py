@@ -53,6 +53,36 @@ def zorder(
     return _rewrite(lake, table, Layout(cluster_by=names, target_bytes=target_bytes, bits=bits), "zorder")
 
 
+def zone_map(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per file of a scan: its rows and the least and greatest value of each column, as a filter on them sees the file."""
+    ends = [end(name).alias(f"{label}_{name}") for name in columns for label, end in (("min", F.min), ("max", F.max))]
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *ends)
+
+
+def opened_share(zones: DataFrame, columns: Sequence[str], parts: int = 16) -> DataFrame:
+    """How much of a table a filter must open: per numeric column ``files``, ``rows`` and ``opened``.
+
+    The span of the column's values is cut into ``parts`` equal ranges; ``opened`` is the mean share of files whose values
+    may lie in one of them. Near 1 the layout does not help; a file without any value is never opened. ``zones`` is read
+    twice, so pass a stored one.
+    """
+    counted = []
+    for name in columns:
+        least, greatest = F.col(f"min_{name}"), F.col(f"max_{name}")
+        low = zones.agg(F.min(least)).scalar()
+        high = zones.agg(F.max(greatest)).scalar()
+
+        def part(value: Column, low: Column = low, high: Column = high) -> Column:
+            place = F.when(high > low, (value - low).cast("double") * parts / (high - low)).otherwise(F.lit(0))
+            return F.least(F.floor(place), F.lit(parts - 1))
+
+        spans = F.when(least.isNull(), F.lit(0)).otherwise(part(greatest) - part(least) + 1)
+        counted.append(F.struct(F.lit(name).alias("column"), F.sum(spans).alias("opened")))
+    total = zones.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.array(*counted).alias("found"))
+    share = F.col("one.opened") / (F.col("files") * parts)
+    return total.select("files", "rows", F.explode("found").alias("one")).select("one.column", "files", "rows", share.alias("opened"))
+
+
 def metrics_json(metrics: DataFrame) -> DataFrame:
     """The metrics as one JSON text per row."""
     return metrics.select(F.to_json(F.struct("*")).alias("metrics"))

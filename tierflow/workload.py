@@ -22,9 +22,9 @@ from tierflow.plans import layers
 from tierflow.plans.config import LayerConfig
 from tierflow.plans.player_log import player_sessions
 from tierflow.plans.run import run
-from tierflow.runtime import local_frame, materialize, scratch_path
+from tierflow.runtime import delete_path, local_frame, materialize, scratch_path
 from tierflow.sinks.buckets import save_layers_bucketed
-from tierflow.sinks import catalog, maintenance
+from tierflow.sinks import catalog, maintenance, partitions
 from tierflow.sinks import snapshots as sink
 from tierflow.sinks.lake import Lake, read_snapshot
 from tierflow.sources import (
@@ -227,6 +227,40 @@ def date_range_scan(spark, sf_dir):
     return read_date_range(spark, path, "2024-01-05", "2024-01-12").select(*schemas.BRONZE.fieldNames())
 
 
+@query("calendar_days_scan", f"""SELECT * FROM ({BRONZE_SQL}) b WHERE dayofweek("Date") IN (0, 6)""")
+def calendar_days_scan(spark, sf_dir):
+    """The partitions of the days that a filter on a calendar table leaves."""
+    path, calendar = scratch_path(spark, "by-date"), scratch_path(spark, "calendar")
+    rows = bronze_events(spark, sf_dir)
+    sink.write_files(rows, path, partition_by=["Date"], layout=sink.Layout(compact=True))
+    rows.select(F.col("Date").alias("day")).distinct().withColumn("weekday", F.dayofweek("day")).write.parquet(calendar)
+    weekends = read_table(spark, calendar).filter(F.col("weekday").isin(1, 7))
+    return on_days(read_table(spark, path), weekends).select(*schemas.BRONZE.fieldNames())
+
+
+@query("missing_files_ignored", f"""SELECT * FROM ({BRONZE_SQL}) b WHERE "Date" <> DATE '2024-01-10'""")
+def missing_files_ignored(spark, sf_dir):
+    """A scan planned before one of its directories goes away."""
+    path = scratch_path(spark, "by-date")
+    sink.write_files(bronze_events(spark, sf_dir), path, partition_by=["Date"], layout=sink.Layout(compact=True))
+    rows = read_table(spark, path, ignore_missing=True).select(*schemas.BRONZE.fieldNames())
+    delete_path(spark, f"{path}/Date=2024-01-10")
+    return rows
+
+
+@query(
+    "orc_by_path",
+    f"""SELECT "AppName", count(*) AS "rows", CAST(sum("TotalDuration") AS BIGINT) AS total FROM ({BRONZE_SQL}) b GROUP BY "AppName\"""",
+)
+def orc_by_path(spark, sf_dir):
+    """Another file format read by its path, and queried through a temporary view."""
+    path = scratch_path(spark, "orc")
+    sink.write_files(bronze_events(spark, sf_dir), path, fmt="orc")
+    view = f"events_{uuid.uuid4().hex}"
+    catalog.register_temp_view(read_table(spark, path, fmt="orc"), view)
+    return spark.sql(f"SELECT AppName, count(*) AS rows, sum(TotalDuration) AS total FROM {view} GROUP BY AppName")
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # Pivots and per-row rankings
 
@@ -918,3 +952,118 @@ def layered_run(spark, sf_dir):
     """Raw JSON files to bronze, silver, rfm and gold tables; the published gold table."""
     lake = new_lake(spark)
     return run(lake, _write_hits(spark, sf_dir), EVENTS, read_options=HIT_READ, flatten_options=HIT_FLATTEN)
+
+
+@query(
+    "compact_fragmented_days",
+    f"""
+SELECT "Date", count(*) AS "rows", CAST(1 AS BIGINT) AS files, "Date" < DATE '2024-01-16' AS untouched
+FROM ({BRONZE_SQL}) b GROUP BY "Date"
+""",
+)
+def compact_fragmented_days(spark, sf_dir):
+    """Days of one file keep it, days of many small files get one; read from the files of the compacted table."""
+    path = scratch_path(spark, "fragmented")
+    rows = bronze_events(spark, sf_dir)
+    whole = F.col("Date") < F.lit(dt.date(2024, 1, 16))
+    rows.filter(whole).repartition("Date").write.partitionBy("Date").parquet(path)
+    rows.filter(~whole).repartition(8).write.partitionBy("Date").mode("append").parquet(path)
+    before = materialize(partitions.data_files(spark, path).select("file", F.lit(True).alias("old")))
+    partitions.compact_partitions(spark, path, ["Date"])
+    found = read_table(spark, path).groupBy("Date", F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    return found.join(before, "file", "left").groupBy("Date").agg(
+        F.sum("rows").alias("rows"),
+        F.count(F.lit(1)).alias("files"),
+        F.bool_and(F.coalesce("old", F.lit(False))).alias("untouched"),
+    )
+
+
+@query(
+    "delete_in_days",
+    f"""
+SELECT *, "Date" <> DATE '2024-01-20' AS untouched FROM ({BRONZE_SQL}) b
+WHERE "Date" <> DATE '2024-01-10' AND NOT ("Date" = DATE '2024-01-20' AND "AppName" = 'error')
+""",
+)
+def delete_in_days(spark, sf_dir):
+    """One day deleted, another stripped of its errors; every row with whether it is still in the file it was in."""
+    path = scratch_path(spark, "by-date")
+    sink.write_files(bronze_events(spark, sf_dir), path, partition_by=["Date"])
+    before = materialize(partitions.data_files(spark, path).select("file", F.lit(True).alias("old")))
+    gone = "Date = DATE'2024-01-10' OR (Date = DATE'2024-01-20' AND AppName = 'error')"
+    partitions.delete_in_partitions(spark, path, gone, ["Date"])
+    left = read_table(spark, path).withColumn("file", F.col("_metadata.file_path")).join(before, "file", "left")
+    return left.select(*schemas.BRONZE.fieldNames(), F.coalesce("old", F.lit(False)).alias("untouched"))
+
+
+@query(
+    "zorder_files_opened",
+    """
+SELECT c."column", l."layout", (SELECT count(*) FROM lineitem) AS "rows", l."layout" = 'zorder' AS few
+FROM (VALUES ('l_partkey'), ('l_suppkey')) c("column"), (VALUES ('dealt'), ('zorder')) l("layout")
+""",
+)
+def zorder_files_opened(spark, sf_dir):
+    """Whether a filter on a sixteenth of a column's span opens fewer than half of the files, before and after."""
+    lake, keys = new_lake(spark), ["l_partkey", "l_suppkey"]
+    first = sink.publish(lake, table(spark, sf_dir, "lineitem").repartition(16), "lineitem")
+
+    def opened(layout: str) -> DataFrame:
+        scan = read_table(spark, lake.snapshot("lineitem").paths)
+        shares = maintenance.opened_share(materialize(maintenance.zone_map(scan, keys)), keys)
+        few = (F.col("files") >= 8) & (F.col("opened") < 0.5)
+        return shares.select("column", F.lit(layout).alias("layout"), "rows", few.alias("few"))
+
+    dealt = opened("dealt")
+    maintenance.zorder(lake, "lineitem", keys, target_bytes=max(1, first.bytes // 16))
+    return dealt.unionByName(opened("zorder"))
+
+
+@query(
+    "metrics_json",
+    """SELECT '{"table":"lineitem","operation":"compact","version":2,"rows":' || CAST(count(*) AS VARCHAR) || '}' AS metrics FROM lineitem""",
+)
+def metrics_json(spark, sf_dir):
+    """Metrics of a compaction as JSON text."""
+    lake = new_lake(spark)
+    sink.publish(lake, table(spark, sf_dir, "lineitem").repartition(16), "lineitem")
+    return maintenance.metrics_json(maintenance.compact(lake, "lineitem").select("table", "operation", "version", "rows"))
+
+
+def _external_events(spark, sf_dir) -> str:
+    """The events by date as an external table; the second half of the days is written after the table was made."""
+    lake = new_lake(spark)
+    name, path = f"{lake.database}.events", lake.table_root("events")
+    rows = bronze_events(spark, sf_dir)
+    first = F.col("Date") < F.lit(dt.date(2024, 1, 16))
+    sink.write_files(rows.filter(first), path, partition_by=["Date"])
+    catalog.ensure_database(spark, lake.database, f"{lake.base}/_catalog")
+    catalog.external_table(spark, name, path, ["Date"])
+    rows.filter(~first).repartition("Date").write.partitionBy("Date").mode("append").parquet(path)
+    catalog.sync_partitions(spark, name)
+    return name
+
+
+@query("external_table_read", BRONZE_SQL)
+def external_table_read(spark, sf_dir):
+    """Files with a table over them, read by its plain name in its database."""
+    database, name = _external_events(spark, sf_dir).split(".")
+    current = spark.catalog.currentDatabase()
+    catalog.use_database(spark, database)
+    try:
+        return catalog_table(spark, name)
+    finally:
+        catalog.use_database(spark, current)
+
+
+def _statistics_sql(column: str) -> str:
+    ends = f"""CAST(min("{column}") AS VARCHAR) AS least, CAST(max("{column}") AS VARCHAR) AS greatest"""
+    return f"""SELECT '{column}' AS "column", {ends}, count(*) FILTER ("{column}" IS NULL) AS nulls FROM ({BRONZE_SQL}) b"""
+
+
+@query("external_table_statistics", " UNION ALL ".join(_statistics_sql(c) for c in ("TotalDuration", "Score", "Date")))
+def external_table_statistics(spark, sf_dir):
+    """What the catalog knows of an analyzed table's columns."""
+    name, columns = _external_events(spark, sf_dir), ["TotalDuration", "Score", "Date"]
+    catalog.analyze(spark, name, columns)
+    return catalog.column_statistics(spark, name, columns).drop("distinct")
