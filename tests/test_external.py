@@ -39,7 +39,7 @@ def test_statistics_reach_the_plan(spark, events):
         table = spark.table(name)
         assert estimate(table) == total
         assert estimate(table.filter("TotalDuration < 0")) == 0
-        middle = table.agg(F.expr("percentile(TotalDuration, 0.5)")).first()[0]
+        middle = table.agg(F.expr("(min(TotalDuration) + max(TotalDuration)) div 2")).first()[0]
         assert 0.3 * total < estimate(table.filter(F.col("TotalDuration") < middle)) < 0.7 * total
 
 
