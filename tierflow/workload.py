@@ -905,9 +905,10 @@ def zorder_keeps_rows(spark, sf_dir):
 @query("maintenance_metrics", """SELECT 'lineitem' AS "table", 'zorder' AS operation, 2 AS version, count(*) AS "rows", true AS clustered FROM lineitem""")
 def maintenance_metrics(spark, sf_dir):
     lake = new_lake(spark)
-    sink.publish(lake, table(spark, sf_dir, "lineitem"), "lineitem")
-    metrics = maintenance.zorder(lake, "lineitem", "l_partkey", target_bytes=256 * 1024)
-    return metrics.select("table", "operation", "version", "rows", (F.col("files_after") >= 1).alias("clustered"))
+    first = sink.publish(lake, table(spark, sf_dir, "lineitem"), "lineitem")
+    metrics = maintenance.zorder(lake, "lineitem", "l_partkey", target_bytes=max(1, first.bytes // 8))
+    clustered = F.col("files_after").between(8, 9) & (F.col("bytes_before") == first.bytes) & (F.col("bytes_after") > 0)
+    return metrics.select("table", "operation", "version", "rows", clustered.alias("clustered"))
 
 
 @query(
