@@ -67,6 +67,20 @@ def test_bins(spark):
     assert sorted((r["p"], r["bin"], r["s"], r["bins"]) for r in found) == [(1, 0, 10, 2), (1, 1, 6, 2), (2, 0, 30, 1), (3, 0, 8, 2), (3, 1, 4, 2)]
 
 
+def test_bins_of_many_files(spark):
+    files = spark.range(5000).select(
+        (F.col("id") % 2).cast("int").alias("p"), F.concat(F.lit("f"), F.col("id")).alias("file"),
+        F.pmod(F.xxhash64("id"), F.lit(30)).alias("bytes"),
+    )
+    found = pack_files(files, ["p"], 100, run=300)
+    bins = found.groupBy("p", "bin").agg(F.sum("bytes").alias("s"), F.max("bins").alias("bins")).collect()
+    assert found.select("file").distinct().count() == found.count() == 5000
+    for p in (0, 1):
+        mine = {r["bin"]: r["s"] for r in bins if r["p"] == p}
+        assert sorted(mine) == list(range(len(mine))) and {r["bins"] for r in bins if r["p"] == p} == {len(mine)}
+        assert max(mine.values()) <= 100 and len(mine) <= 2 * sum(mine.values()) / 100 + 9 + 1
+
+
 def test_delete_touches_matching_partitions_only(spark, table):
     path, rows = table
     before = snapshot(path)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from tierflow.runtime import delete_path, local_frame
 from tierflow.sinks.snapshots import TARGET_FILE_BYTES
 
 FILES = "part-*"
+RUN_FILES = 1000
 REPORT_SCHEMA = "partitions bigint, rewritten bigint, files_before bigint, files_after bigint"
 
 
@@ -55,27 +56,39 @@ def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str)
     writer.option("compression", "zstd").partitionBy(*partition_by).save(path)
 
 
-def pack_files(files: DataFrame, partition_by: Sequence[str], target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+def pack_files(
+    files: DataFrame, partition_by: Sequence[str], target_bytes: int = TARGET_FILE_BYTES, run: int = RUN_FILES
+) -> DataFrame:
     """``data_files`` with a ``bin`` per file, from 0 in each partition, and the partition's number of ``bins``.
 
-    Next fit by falling size: a bin holds at most ``target_bytes``, or one larger file. All but the last of two neighbouring
-    bins are together above the target, so there are at most twice as many as needed.
+    Next fit by falling size: a bin holds at most ``target_bytes``, or one larger file, and two neighbouring bins are
+    together above the target, so there are at most twice as many as needed. The files of a partition are packed in runs of
+    ``run`` files, each with a last bin of its own, so that the work grows with the number of files.
     """
-    listed = files.groupBy(*partition_by).agg(F.sort_array(F.collect_list(F.struct("bytes", "file")), asc=False).alias("__files"))
+    keys = list(partition_by)
+    order = Window.partitionBy(*keys).orderBy(F.desc("bytes"), F.desc("file"))
+    runs = files.withColumn("__run", F.floor((F.row_number().over(order) - 1) / run))
+    listed = runs.groupBy(*keys, "__run").agg(
+        F.sort_array(F.collect_list(F.struct("bytes", "file")), asc=False).alias("__files")
+    )
     start = F.struct(F.lit(-1).alias("bin"), F.lit(target_bytes).cast("bigint").alias("fill"), F.array().cast("array<int>").alias("bins"))
 
     def place(state: Column, item: Column) -> Column:
-        fits = state["fill"] + item["bytes"] <= F.lit(target_bytes)
+        fits = (state["fill"] + item["bytes"] <= F.lit(target_bytes)) & (state["bin"] >= 0)
         number = F.when(fits, state["bin"]).otherwise(state["bin"] + 1)
         fill = F.when(fits, state["fill"] + item["bytes"]).otherwise(item["bytes"])
         return F.struct(number.alias("bin"), fill.alias("fill"), F.concat(state["bins"], F.array(number)).alias("bins"))
 
     packed = listed.withColumn("__bins", F.aggregate("__files", start, place, lambda state: state["bins"]))
+    counted = packed.withColumn("__count", F.array_max("__bins") + 1)
+    upto = F.sum("__count").over(Window.partitionBy(*keys).orderBy("__run"))
+    total = F.sum("__count").over(Window.partitionBy(*keys))
+    numbered = counted.withColumns({"__before": (upto - F.col("__count")).cast("int"), "bins": total.cast("int")})
     paired = F.arrays_zip(F.col("__files").alias("f"), F.col("__bins").alias("b"))
-    each = packed.select(*partition_by, (F.array_max("__bins") + 1).alias("bins"), F.explode(paired).alias("__one"))
+    numbered = numbered.select(*keys, "__before", "bins", F.explode(paired).alias("__one"))
     one = F.col("__one")
-    return each.select(
-        *partition_by, one["f"]["file"].alias("file"), one["f"]["bytes"].alias("bytes"), one["b"].alias("bin"), "bins"
+    return numbered.select(
+        *keys, one["f"]["file"].alias("file"), one["f"]["bytes"].alias("bytes"), (F.col("__before") + one["b"]).alias("bin"), "bins"
     )
 
 
