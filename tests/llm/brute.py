@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -58,6 +59,32 @@ def decontaminate(docs, items, window=10):
     return out
 
 
+def near_items(docs, items, window=10, slack=2):
+    """{doc_id: sorted ids of the items with a window whose words all occur within its length plus ``slack`` words}"""
+    owners, times = {}, Counter()
+    for item, text in items:
+        words = ALNUM.findall(lower(text))
+        size = min(window, len(words))
+        for i in range(len(words) - size + 1 if words else 0):
+            owners.setdefault((size, frozenset(words[i:i + size])), set()).add(str(item))
+    split = {doc: ALNUM.findall(lower(text)) for doc, text in docs}
+    for words in split.values():
+        times.update(words)
+    led = {}
+    for size, terms in owners:
+        led.setdefault(min(terms, key=lambda t: (times[t], t)), []).append((size, terms))
+    out = {}
+    for doc, words in split.items():
+        found = set()
+        for i, word in enumerate(words):
+            for size, terms in led.get(word, ()):
+                reach = size + slack
+                if terms <= set(words[max(0, i - reach + 1):i + reach]) and any(terms <= set(words[s:s + reach]) for s in range(max(0, i - reach + 1), i + 1)):
+                    found |= owners[size, terms]
+        out[doc] = sorted(found)
+    return out
+
+
 def remove_repeats(docs, window=50):
     """{doc_id: (n_words, n_removed, kept_sha256)}"""
     first = {}

@@ -59,9 +59,13 @@ def test_op1(spark, middle):
 
 
 def test_op2(spark, middle):
-    got = keyed(result(spark, "op2_decontamination", middle), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    want = brute.decontaminate(table(middle, "documents", "doc_id", "text"), table(middle, "benchmark", "item_id", "text"))
+    found = result(spark, "op2_decontamination", middle)
+    docs, items = table(middle, "documents", "doc_id", "text"), table(middle, "benchmark", "item_id", "text")
+    got = keyed(found, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    want = brute.decontaminate(docs, items)
     assert got == want and any(v[4] for v in want.values())
+    near = {doc: (len(ids), brute.sha(",".join(ids))) for doc, ids in brute.near_items(docs, items).items()}
+    assert keyed(found, "doc_id", "n_near_items", "near_items_sha256") == near
 
 
 def test_op3(spark, middle):

@@ -122,3 +122,26 @@ def test_proximity_sweeps_all_postings(spark):
             if found:
                 want.setdefault(key, set()).add(min(found)[1:])
     assert got == want and got[0] == {(2, 7)}
+
+
+@pytest.mark.parametrize("slack", [0, 2, 5])
+def test_nearby_windows_through_the_pruned_index(spark, slack):
+    """Long, short, repeated and one-word items; documents with their words shuffled, spread or doubled, and without any."""
+    import random
+
+    rnd = random.Random(slack)
+    vocabulary = [f"t{i}" for i in range(40)]
+    items = [(i, " ".join(rnd.choice(vocabulary) for _ in range(n))) for i, n in enumerate([14, 11, 10, 6, 3, 2, 1, 12, 0])] + [(9, "t1 t1 t1"), (10, None), (11, "t1 t1 t1")]
+    docs = [(0, None), (1, ""), (2, "??"), (3, "t1 " * 3)]
+    for key in range(4, 80):
+        words = [rnd.choice([*vocabulary, *(f"u{i}" for i in range(60))]) for _ in range(rnd.randint(0, 30))]
+        planted = rnd.choice(items)[1] or ""
+        planted = [w for x in planted.split() for w in ([x, "gap"] if rnd.random() < 0.15 else [x])]
+        if rnd.random() < 0.5:
+            rnd.shuffle(planted)
+        docs.append((key, " ".join(words[:9] + planted + words[9:])))
+    found = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), slack=slack)
+    got = {r["doc_id"]: (sorted(r["items"]), sorted(r["near_items"])) for r in found.collect()}
+    near, exact = brute.near_items(docs, items, slack=slack), brute.decontaminate(docs, items)
+    assert {k: v[1] for k, v in got.items()} == near and {k: len(v[0]) for k, v in got.items()} == {k: v[2] for k, v in exact.items()}
+    assert all(set(a) <= set(b) for a, b in got.values()) and any(set(a) < set(b) for a, b in got.values())

@@ -6,8 +6,10 @@ position)``; per window the lists of its terms are intersected, each shifted by
 rarest term on. What is left are exact phrase matches.
 
 A posting is stored if a query can ask for it: its term occurs in a test window (a fixed-size bitmap of term hashes says
-so, which may let other terms in, never leave one out), and, for exact phrases, it lies in a run of such terms at least
-as long as the windows are.
+so, which may let other terms in, never leave one out), and it lies in a run of such terms at least as long as the
+windows are (exact phrases), or in reach of a place where a window's first lead term has its second and third in reach
+(proximity; the lead terms of a window are those that the fewest windows have). A window is met *nearby* where all its terms
+occur, in any order, within its length plus ``slack`` words; an exact phrase is such a place too.
 
 Defined cases: a null text has no words; items without words match nothing; equal items are hit together; a null item id
 is listed as an empty string; rows with equal ids are matched each on its own; empty tables give empty or all-clean
@@ -27,6 +29,7 @@ from . import packed
 from .bitmaps import BITS, bitmap, contains
 
 WINDOW = 10
+SLACK = 2
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,10 +61,13 @@ def _window_rows(window: int):
 
 
 class TestSet:
-    """The windows of the test items: ``windows`` (sid, terms), each word sequence once, and ``items`` (sid, item)."""
+    """The windows of the test items: ``windows`` (sid, terms), each word sequence once, and ``items`` (sid, item).
 
-    def __init__(self, items: DataFrame, key: str = "item_id", text: str = "text", window: int = WINDOW, bits: int = BITS):
-        self.window = window
+    With ``slack`` an index for proximity searches of up to that slack can leave out what they do not ask for.
+    """
+
+    def __init__(self, items: DataFrame, key: str = "item_id", text: str = "text", window: int = WINDOW, bits: int = BITS, slack: int | None = None):
+        self.window, self.slack = window, slack
         kind = items.select(key).schema[0].dataType.simpleString()
         rows = items.select(F.col(text).alias("text"), F.col(key).alias("item"))
         found = rows.mapInArrow(_window_rows(window), f"item {kind}, terms array<long>")
@@ -73,6 +79,16 @@ class TestSet:
         terms = found.select(F.size("terms").alias("n"), F.explode("terms").alias("term"))
         self.long_terms = bitmap(terms.where(F.col("n") == window), F.col("term"), bits)
         self.short_terms = bitmap(terms.where(F.col("n") < window), F.col("term"), bits)
+        self.leads = None if slack is None else self._lead_terms(terms, bits)
+
+    def _lead_terms(self, terms: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bitmaps of the windows' first lead terms, and of these with the second and with the third (the last one again if there is none)."""
+        times = terms.groupBy("term").agg(F.count("*").alias("times"))
+        own = self.windows.select("sid", F.explode(F.array_distinct("terms")).alias("term")).join(times, "term")
+        own = own.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("times", "term"))).alias("by"))
+        leads = own.select(*[F.element_at("by", F.least(F.lit(k), F.size("by")))["term"].alias(f"t{k}") for k in (1, 2, 3)])
+        pairs = [leads.select(F.expr(f"t1 ^ ((t{k} << {k}) | (t{k} >>> {64 - k}))").alias("pair")) for k in (2, 3)]
+        return bitmap(leads, F.col("t1"), bits), bitmap(pairs[0].union(pairs[1]), F.col("pair"), bits)
 
 
 def _in_runs(flags: np.ndarray, bounds: np.ndarray, least: int) -> np.ndarray:
@@ -91,8 +107,27 @@ def _in_runs(flags: np.ndarray, bounds: np.ndarray, least: int) -> np.ndarray:
     return np.cumsum(delta[:-1]) > 0
 
 
+def _in_reach(terms: np.ndarray, bounds: np.ndarray, leads: tuple[np.ndarray, np.ndarray], reach: int) -> np.ndarray:
+    """Flags of the words less than ``reach`` from a first lead term that has a second and a third one of its windows as near, all in one row."""
+    first, pairs = leads
+    at = np.flatnonzero(contains(first, terms))
+    for k in (2, 3):
+        row = np.searchsorted(bounds, at, side="right") - 1
+        low, high = np.maximum(bounds[row], at - reach + 1), np.minimum(bounds[row + 1], at + reach)
+        met = np.zeros(len(at), dtype=bool)
+        for shift in range(1 - reach, reach):
+            other = at + shift
+            near = terms[np.where((other >= low) & (other < high), other, at)]
+            met |= contains(pairs, terms[at] ^ (near << np.uint64(k) | near >> np.uint64(64 - k)))
+        at, low, high = at[met], low[met], high[met]
+    delta = np.zeros(len(terms) + 1, dtype=np.int64)
+    np.add.at(delta, low, 1)
+    np.add.at(delta, high, -1)
+    return np.cumsum(delta[:-1]) > 0
+
+
 def _index_rows(tests: tuple, runs: bool):
-    long_terms, short_terms, window, shortest = tests
+    long_terms, short_terms, window, shortest, leads, slack = tests
 
     def tasks(batches):
         for batch in batches:
@@ -100,9 +135,12 @@ def _index_rows(tests: tuple, runs: bool):
             for rows, data, offsets in packed.chunks(batch.column(0), lower=True):
                 terms, bounds = _words(data, offsets)
                 wanted, brief = contains(long_terms, terms), contains(short_terms, terms)
+                near = wanted | brief
                 if runs:
                     wanted, brief = _in_runs(wanted, bounds, window), _in_runs(brief, bounds, shortest)
-                at = np.flatnonzero(wanted | brief)
+                if leads is not None:
+                    near &= _in_reach(terms, bounds, leads, window + slack)
+                at = np.flatnonzero(wanted | brief | near if leads is not None else wanted | brief)
                 row = np.searchsorted(bounds, at, side="right") - 1
                 where = packed.row_starts(row, len(offsets) - 1)
                 yield pa.RecordBatch.from_arrays(
@@ -115,12 +153,15 @@ def _index_rows(tests: tuple, runs: bool):
 
 
 class Index:
-    """The stored index: ``documents`` (uid, id, n_words) and ``postings`` (term, uid, position)."""
+    """The stored index: ``documents`` (uid, id, n_words) and ``postings`` (term, uid, position).
+
+    It answers phrase searches, and proximity searches up to the slack of the test set; with ``phrases_only`` false, of any slack.
+    """
 
     def __init__(self, docs: DataFrame, tests: TestSet, key: str = "doc_id", text: str = "text", phrases_only: bool = True):
         kind = docs.select(key).schema[0].dataType.simpleString()
         rows = docs.select(F.col(text).alias("text"), F.col(key).alias("id"))
-        bits = (tests.long_terms, tests.short_terms, tests.window, tests.shortest)
+        bits = (tests.long_terms, tests.short_terms, tests.window, tests.shortest, tests.leads if phrases_only else None, tests.slack)
         built = rows.mapInArrow(_index_rows(bits, phrases_only), f"id {kind}, n_words long, terms array<long>, positions array<int>")
         stored = materialize(built.withColumn("uid", F.monotonically_increasing_id()), "index")
         self.documents = stored.select("uid", "id", "n_words")
@@ -157,47 +198,72 @@ def phrase_matches(index: Index, tests: TestSet) -> DataFrame:
     return done.select("sid", "uid", "start", "n").union(rest.select("sid", "uid", "start", "n"))
 
 
-def proximity_matches(index: Index, tests: TestSet, slack: int) -> DataFrame:
+def proximity_matches(index: Index, tests: TestSet, slack: int, without: DataFrame | None = None) -> DataFrame:
     """``(sid, uid, start, end)``: places where all terms of a window occur, in any order, within its length plus ``slack`` words.
 
     For every posting of a window's rarest term: the shortest such place with it (the first of equally short ones). All
-    postings in reach are swept, from each of them on the nearest one of every term. Needs an index of all test terms
-    (``phrases_only=False``); a term that a window has twice may be met by one posting.
+    postings in reach are swept, from each of them on the nearest one of every term. Needs an index made for that slack or
+    for any; a term that a window has twice may be met by one posting. Pairs ``(sid, uid)`` of ``without`` are not searched.
     """
     ranked = materialize(_ranked(index, tests), "ranked")
     anchor = ranked.where("rank = 1").join(index.postings, "term").select("sid", "n", "uid", F.col("position").alias("anchor"))
-    reach = F.col("n") + F.lit(slack)
-    cell = F.floor(F.col("anchor") / reach)
-    asked = anchor.withColumn("cell", F.explode(F.sequence(cell - 1, cell + 1)))
-    others = ranked.select("sid", F.col("n").alias("m"), "term").distinct().join(index.postings, "term")
-    others = others.withColumn("cell", F.floor(F.col("position") / (F.col("m") + F.lit(slack))))
-    near = asked.join(others, ["sid", "uid", "cell"]).where(F.abs(F.col("position") - F.col("anchor")) < reach)
+    if without is not None:
+        anchor = anchor.join(without, ["sid", "uid"], "left_anti")
+    reach, width = F.col("n") + F.lit(slack), F.lit(tests.window + slack)
+    cell = F.floor(F.col("anchor") / width)
+    terms = ranked.select("sid", "term").distinct()
+    asked = anchor.join(terms, "sid").withColumn("cell", F.explode(F.sequence(cell - 1, cell + 1)))
+    others = index.postings.withColumn("cell", F.floor(F.col("position") / width))
+    near = asked.join(others, ["term", "uid", "cell"]).where(F.abs(F.col("position") - F.col("anchor")) < reach)
     near = materialize(near.select("sid", "uid", "anchor", "n", "term", "position"), "near")
     place = ["sid", "uid", "anchor"]
+    kinds = terms.groupBy("sid").agg(F.count("*").alias("kinds"))
+    whole = near.groupBy(*place).agg(F.count_distinct("term").alias("found")).join(kinds, "sid").where("found = kinds")
+    near = materialize(near.join(whole.select(*place), place, "left_semi"), "near-whole")
     starts = near.where(F.col("position") <= F.col("anchor")).select(*place, F.col("position").alias("start"))
     swept = starts.join(near, place).where((F.col("position") >= F.col("start")) & (F.col("position") < F.col("start") + reach))
     nearest = swept.groupBy(*place, "n", "start", "term").agg(F.min("position").alias("position"))
     spans = nearest.groupBy(*place, "n", "start").agg(F.count("*").alias("found"), F.greatest(F.max("position") + 1, F.col("anchor") + 1).alias("end"))
-    kinds = ranked.groupBy("sid").agg(F.count_distinct("term").alias("kinds"))
     spans = spans.join(kinds, "sid").where((F.col("found") == F.col("kinds")))
     best = spans.groupBy(*place).agg(F.min(F.struct((F.col("end") - F.col("start")).alias("span"), "start", "end")).alias("best"))
     return best.select("sid", "uid", "best.start", "best.end").distinct()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(key, n_words, n_hit, n_items, items, contaminated)`` per row: ``items`` are the ids, as sorted strings, of items with an occurring window."""
-    tests = TestSet(items, item, item_text, window)
+def _items_of(matches: DataFrame, tests: TestSet, alias: str) -> DataFrame:
+    named = matches.join(tests.items, "sid").groupBy("uid")
+    return named.agg(F.array_sort(F.collect_set("item")).alias(alias))
+
+
+def contaminated(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW,
+    slack: int | None = None,
+) -> DataFrame:
+    """``(key, n_words, n_hit, n_items, items, contaminated)`` per row: ``items`` are the ids, as sorted strings, of items with an occurring window.
+
+    With ``slack`` also ``near_items``: the items with a window that is met nearby, those of ``items`` among them.
+    """
+    tests = TestSet(items, item, item_text, window, slack=slack)
     index = Index(docs, tests, key, text)
     matches = materialize(phrase_matches(index, tests), "matches")
     covered = matches.select("uid", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("position")).distinct()
     hits = covered.groupBy("uid").agg(F.count("*").alias("n_hit"))
-    named = matches.select("uid", "sid").distinct().join(tests.items, "sid").groupBy("uid").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    whole = index.documents.join(hits, "uid", "left").join(named, "uid", "left")
+    exact = matches.select("sid", "uid").distinct()
+    whole = index.documents.join(hits, "uid", "left").join(_items_of(exact, tests, "items"), "uid", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    listed = F.coalesce("items", F.array().cast("array<string>"))
-    return whole.select(
-        F.col("id").alias(key), "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"), (n_hit > 0).alias("contaminated")
-    )
+
+    def listed(name: str):
+        return F.coalesce(name, F.array().cast("array<string>"))
+
+    columns = [
+        F.col("id").alias(key), "n_words", n_hit.alias("n_hit"), F.size(listed("items")).cast("long").alias("n_items"), listed("items").alias("items"),
+        (n_hit > 0).alias("contaminated"),
+    ]
+    if slack is not None:
+        exact = materialize(exact, "exact")
+        near = proximity_matches(index, tests, slack, without=exact).select("sid", "uid").distinct().union(exact)
+        whole = whole.join(_items_of(near, tests, "near_items"), "uid", "left")
+        columns.append(listed("near_items").alias("near_items"))
+    return whole.select(*columns)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:

@@ -26,8 +26,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", _sha(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
+    found = decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), slack=decontamination.SLACK)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", _sha(F.array_join("items", ",")).alias("items_sha256"), "contaminated",
+        F.size("near_items").cast("long").alias("n_near_items"), _sha(F.array_join("near_items", ",")).alias("near_items_sha256"),
+    )
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
