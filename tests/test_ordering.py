@@ -3,7 +3,9 @@ import bisect
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.functions.ordering import quantile_cuts, spread_bits, with_range_id, with_rank, with_z_value
+from tierflow.functions.ordering import quantile_cuts, spread_bits, with_rank, with_z_value
+from tierflow.runtime import materialize
+from tierflow.sinks.snapshots import clustered
 
 
 @pytest.mark.parametrize("cuts", [[], [5], [1, 5, 9], list(range(0, 300, 3))])
@@ -40,20 +42,28 @@ def test_cuts_of_nulls_and_few_values(spark):
     assert quantile_cuts(df, ["n", "b"], 8, 100) == {"n": [], "b": [0, 1]}
 
 
-def test_range_ids_are_ordered_and_even(spark):
-    df = spark.range(0, 20_000, 1, 4).select(
-        F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 50 == 1, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000))).alias("v"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    out = with_range_id(df, ["v"], 12, 20_000, "row", "p")
-    assert out.columns == ["v", "row", "p"]
-    parts = out.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("p").collect()
-    assert [r["p"] for r in parts] == list(range(12))
+def test_clustered_parts_are_ordered_and_even(spark):
+    """A value with a third of all rows is spread, and no part reaches into the next one."""
+    df = materialize(spark.range(0, 20_000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 500).when(F.col("id") % 50 == 1, None).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000))).alias("v"), "id",
+    ))
+    out = clustered(df, ["v"], 12, 20_000)
+    assert out.columns == ["v", "id"]
+    parts = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("p").collect()
+    assert [r["p"] for r in parts] == list(range(12)) and sum(r["n"] for r in parts) == 20_000
     assert max(r["n"] for r in parts) < 2 * 20_000 / 12
     edges = [(r["lo"], r["hi"]) for r in parts]
     assert all(left[1] <= right[0] for left, right in zip(edges, edges[1:]))
+    assert out.agg(F.sum("id")).first()[0] == sum(range(20_000))
 
 
-def test_range_ids_of_an_empty_frame(spark):
-    df = spark.range(0).withColumn("row", F.monotonically_increasing_id())
-    assert with_range_id(df, ["id"], 4, 0, "row", "p").count() == 0
+def test_cells_of_a_coarse_curve_are_cut_by_the_columns(spark):
+    df = materialize(spark.range(0, 8_000, 1, 4).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("a"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)).alias("b")))
+    out = clustered(df, ["a", "b"], 32, 8_000, bits=1)
+    spans = out.groupBy(F.spark_partition_id().alias("p")).agg((F.max("a") - F.min("a")).alias("a"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(spans) == 32 and max(r["n"] for r in spans) < 500
+    assert sum(r["a"] for r in spans) / 32 < 150  # four cells alone leave spans of 500
+
+
+def test_clustering_an_empty_frame(spark):
+    assert clustered(materialize(spark.range(0)), ["id"], 4, 0).count() == 0

@@ -1,10 +1,11 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.operators import RULES, ColumnRule, QualityError, TableRules, check, enforce
 from tierflow.operators.quality import audit, split
-from tierflow.runtime import scratch_path
+from tierflow.runtime import path_exists, scratch_path
 from tierflow.sinks import Lake, publish, read_snapshot
 
 RULE = TableRules("t", (
@@ -136,3 +137,35 @@ def test_publish_counts_rules_while_writing(spark, tmp_path, monkeypatch):
         good = quality.TableRules.from_schema("t", rows_in.schema, ranges={"id": (0, 1000)})
         assert publish(lake, rows_in, "t", rules=good).rows == 1000
     assert publish(lake, plain.where("id < 0"), "t", rules=rules).rows == 0
+
+
+@pytest.mark.parametrize("partition_by", [(), ("k",)])
+def test_quarantine_writes_valid_rows_once(spark, partition_by):
+    """The job that writes the files parts the rows; no second job writes the valid ones."""
+    lake = Lake(spark, scratch_path(spark, "lake"), "quarantine_once")
+    frame = spark.range(0, 400, 1, 4).select((F.col("id") % 3).cast("int").alias("k"), F.when(F.col("id") % 10 != 0, F.col("id")).alias("v"))
+    rules = TableRules("t", (ColumnRule("v", T.LongType(), nullable=False),))
+    table = f"t{len(partition_by)}"
+    done = publish(lake, frame, table, rules=rules, policy="quarantine", partition_by=partition_by)
+    assert done.rows == 360 and done.paths[0].endswith("/__kept=true") and not path_exists(spark, done.paths[0].replace("true", "false"))
+    read = spark.table(f"quarantine_once.{table}")
+    assert sorted(read.columns) == ["k", "v"] and read.agg(F.count("*"), F.count("v"), F.sum("v")).first()[:] == (360, 360, sum(i for i in range(400) if i % 10))
+    bad = spark.table(f"quarantine_once.{table}_quarantine")
+    assert bad.count() == 40 and {tuple(r[0]) for r in bad.select("broken_rules").collect()} == {("v:not_null",)}
+    if not partition_by:  # one file of valid rows per task: no exchange, no sort
+        assert done.files == 4
+
+
+def test_quarantine_of_all_rows_or_none(spark):
+    lake = Lake(spark, scratch_path(spark, "lake"), "quarantine_ends")
+    rules = TableRules("t", (ColumnRule("v", T.LongType(), nullable=False),))
+    frame = spark.range(5).select(F.col("id").alias("v"))
+    for name, rows, kept, bad in (("none", frame, 5, 0), ("all", frame.select(F.lit(None).cast("long").alias("v")), 0, 5), ("empty", frame.limit(0), 0, 0)):
+        assert publish(lake, rows, name, rules=rules, policy="quarantine").rows == kept
+        assert spark.table(f"quarantine_ends.{name}").count() == kept
+        if bad:
+            assert spark.table(f"quarantine_ends.{name}_quarantine").count() == bad
+    publish(lake, frame, "all", rules=rules, policy="quarantine", append=True)
+    assert spark.table("quarantine_ends.all").count() == 5 and spark.table("quarantine_ends.all_quarantine").count() == 5
+    with pytest.raises(ValueError):
+        publish(lake, frame.withColumn("__kept", F.lit(1)), "odd", rules=rules, policy="quarantine")

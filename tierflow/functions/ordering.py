@@ -1,4 +1,4 @@
-"""Position of values among sorted cut points: ranks, z-order curves and range partitions."""
+"""Position of values among sorted cut points: ranks and z-order curves."""
 
 from __future__ import annotations
 
@@ -11,15 +11,15 @@ from pyspark.sql import types as T
 
 from tierflow.runtime import local_frame
 
-# Cut points only steer a layout, so they come from a sample whose size does not depend on the table.
+# Cut points only steer a curve, so they come from a sample whose size does not depend on the table: at most
+# ``SAMPLE_ROWS_PER_CUT << MAX_BITS`` rows.
 SAMPLE_ROWS_PER_CUT = 64
-MAX_SAMPLE_ROWS = 1_000_000
 MAX_BITS = 10
 
 
 def _sample(df: DataFrame, parts: int, rows: int) -> DataFrame:
     """About ``SAMPLE_ROWS_PER_CUT`` rows per part, of a frame of ``rows`` rows."""
-    wanted = min(parts * SAMPLE_ROWS_PER_CUT, MAX_SAMPLE_ROWS)
+    wanted = parts * SAMPLE_ROWS_PER_CUT
     return df if rows <= wanted else df.sample(fraction=wanted / rows, seed=7)
 
 
@@ -71,7 +71,7 @@ def spread_bits(value: int, step: int, offset: int) -> int:
 
 
 def curve_bits(columns: int, partitions: int) -> int:
-    """Bits per column so that the curve has several cells per partition."""
+    """Bits per column so that the curve has several cells per partition, as far as ``MAX_BITS`` allow it."""
     cells = (16 * partitions).bit_length()
     return max(4, min(MAX_BITS, 62 // columns, -(-cells // columns)))
 
@@ -94,38 +94,3 @@ def with_z_value(df: DataFrame, columns: Sequence[str], bits: int, rows: int, al
     for name in names[3::2]:
         total = total + F.col(name)
     return ranked.withColumn(alias, F.coalesce(total, F.lit(0).cast("bigint"))).drop(*names)
-
-
-def with_range_id(df: DataFrame, order: Sequence[str], partitions: int, rows: int, row_id: str, alias: str) -> DataFrame:
-    """``df`` plus the number of the range partition each row belongs to, by the ``order`` columns.
-
-    Only the ``order`` columns are read to find the bounds. A value that fills several partitions is several bounds in a
-    row; its rows are dealt out over those partitions by ``row_id``, a number that repeats when a task is run again.
-    """
-    if len(order) == 1 and not df.schema[order[0]].nullable:
-        key = F.col(order[0])
-    else:  # a struct is never null itself, and orders null fields first
-        key = F.struct(*[F.col(name).alias(f"k{i}") for i, name in enumerate(order)])
-    sampled = _sample(df.select(key.alias("k")), partitions, rows).orderBy("k").collect()
-    bounds: list[Any] = []
-    below = [0]  # bounds up to and including the n-th distinct one
-    for index in range(1, partitions):
-        if not sampled:
-            break
-        bound = sampled[len(sampled) * index // partitions]["k"]
-        if bounds and repr(bounds[-1]) == repr(bound):
-            below[-1] += 1
-        else:
-            bounds.append(bound)
-            below.append(below[-1] + 1)
-    ranked = with_rank(df.withColumn(f"{alias}_key", key), f"{alias}_key", bounds, f"{alias}_rank")
-    names = [f"{alias}_{part}" for part in ("key", "rank", "bounds", "below", "upper", "lower")]
-    key_name, rank, bounds_name, below_name, upper, lower = names
-    key_type = ranked.schema[key_name].dataType
-    ranked = ranked.withColumn(bounds_name, _constant(df, bounds, key_type))
-    ranked = ranked.withColumn(below_name, _constant(df, below, T.IntegerType()))
-    on_bound = F.col(key_name) == F.get(bounds_name, F.col(rank) - 1)
-    ranked = ranked.withColumn(upper, F.get(below_name, F.col(rank)))
-    ranked = ranked.withColumn(lower, F.when(on_bound, F.get(below_name, F.col(rank) - 1)).otherwise(F.col(upper)))
-    dealt = F.pmod(F.col(row_id), F.greatest(F.col(upper) - F.col(lower), F.lit(1)))
-    return ranked.withColumn(alias, (F.col(lower) + dealt).cast("int")).drop(*names)

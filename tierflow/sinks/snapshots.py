@@ -11,14 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.functions.ordering import curve_bits, with_range_id, with_z_value
+from tierflow.functions.ordering import curve_bits, with_z_value
 from tierflow.operators import quality
-from tierflow.runtime import delete_path, session_conf, stage
+from tierflow.runtime import delete_path, path_exists, session_conf, stage
 from tierflow.sinks import catalog
 from tierflow.sinks.lake import Lake, Snapshot, file_sizes, read_paths, read_snapshot
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 QUARANTINE_SUFFIX = "_quarantine"
+KEPT = "__kept"  # directory level that tells valid rows from the others while a quarantined table is written
 # Types whose text in a partition directory reads back as the same type.
 PARTITION_TYPES = (T.DateType, T.IntegerType, T.LongType)
 
@@ -43,23 +44,20 @@ def clustered(
 ) -> DataFrame:
     """``df`` range-partitioned and sorted along the columns. ``df`` must be a scan of stored files.
 
-    The bounds come from a scan of just these columns, so the whole rows are read once, by the shuffle. The row's position
-    in the scan spreads a value held by a large share of the rows over as many partitions as its size needs. ``bits`` per
-    column of the z-order curve default to what the number of partitions needs.
+    Cells of the z-order curve are cut further by the columns themselves, and equal values by the row's position in the
+    scan, so a value held by a large share of the rows gets as many partitions as its size needs. ``bits`` per column of the
+    curve default to what the number of partitions needs.
     """
     names = list(columns)
-    if len(names) == 1:
-        keyed, order = df, [*partition_by, *names]
-    else:
+    keyed, order = df, [*partition_by, *names]
+    if len(names) > 1:
         bits = bits or curve_bits(len(names), partitions)
-        keyed, order = with_z_value(df, names, bits, rows, "__curve"), [*partition_by, "__curve"]
+        keyed, order = with_z_value(df, names, bits, rows, "__curve"), [*partition_by, "__curve", *names]
     if partitions == 1:
         placed = keyed.repartition(1)
     else:
-        keyed = keyed.withColumn("__row", F.monotonically_increasing_id())
-        keyed = with_range_id(keyed, order, partitions, rows, "__row", "__part")
-        placed = keyed.repartitionById(partitions, "__part")
-    return placed.sortWithinPartitions(*order, *(names if len(names) > 1 else [])).select(*df.columns)
+        placed = keyed.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(partitions, *order, "__row")
+    return placed.sortWithinPartitions(*order).select(*df.columns)
 
 
 def write_files(
@@ -71,12 +69,13 @@ def write_files(
     rows: int | None = None,
     size: int | None = None,
     watch: Callable[[DataFrame], DataFrame] | None = None,
+    spread: bool = True,
 ) -> None:
     """Write ``df`` as zstd files; partitioned tables get about one file per partition and ``target_bytes``.
 
     ``rows`` and ``size`` of a stored input let clustering skip measuring it; without them the input is staged first.
     ``watch`` is put on the rows as the writing tasks see them, after any exchange, so that a repeated stage counts no row
-    twice.
+    twice. Without ``spread`` partitioned tables are written from the partitions that ``df`` has, as other tables are.
     """
     layout = layout or Layout()
     spark = df.sparkSession
@@ -92,7 +91,7 @@ def write_files(
         partitions = max(1, math.ceil(size / layout.target_bytes))
         out = clustered(df, layout.cluster_by, partitions, rows, partition_by, layout.bits)
         settings = {}
-    elif layout.compact or partition_by:
+    elif layout.compact or (partition_by and spread):
         out = df.hint("rebalance", *partition_by)
     else:
         out, settings = df, {}
@@ -180,15 +179,36 @@ def publish(
         return observed
 
     watched = watch if rules is not None else None
+    aligned = _aligned(df, schema)
+    # Without clustering the writing job itself puts valid and other rows in different directories.
+    parted = rules is not None and policy == "quarantine" and not (layout and layout.cluster_by)
+    if parted and KEPT in df.columns:
+        raise ValueError(f"{KEPT} is a reserved name under the quarantine policy")
     if staging:
-        write_files(_aligned(df, schema), first, lake.format, watch=watched)
+        write_files(aligned, first, lake.format, watch=watched)
+    elif parted:
+        split = aligned.withColumn(KEPT, quality.is_valid(aligned, rules))
+        with session_conf(spark, {} if partition_by else {"spark.sql.maxConcurrentOutputFileWriters": "2"}):
+            write_files(split, first, lake.format, (KEPT, *partition_by), layout, watch=watched, spread=bool(partition_by))
     else:
         rows, size = stored or (None, None)
-        write_files(_aligned(df, schema), first, lake.format, partition_by, layout, rows, size, watched)
+        write_files(aligned, first, lake.format, partition_by, layout, rows, size, watched)
 
-    written = read_paths(spark, [first], schema, lake.format)
+    if parted:
+        path = f"{first}/{KEPT}=true"
+        if not path_exists(spark, path):  # no valid row
+            write_files(aligned.filter(F.lit(False)), path, lake.format)
+    written = read_paths(spark, [path if parted else first], schema, lake.format)
     valid, invalid, added = written, None, None
-    if rules is not None:
+    if parted:
+        bad_path = f"{first}/{KEPT}=false"
+        try:
+            bad = read_paths(spark, [bad_path] if path_exists(spark, bad_path) else [], schema, lake.format)
+            invalid = quality.enforce(bad, rules, policy, audits[-1]())[1]
+        except quality.QualityError:
+            delete_path(spark, first)
+            raise
+    elif rules is not None:
         try:
             valid, invalid, audit = quality.enforce(written, rules, policy, audits[-1]())
         except quality.QualityError:
@@ -200,7 +220,9 @@ def publish(
         publish(lake, invalid, quarantine, append=append, evolve=True, partition_by=(), ts=ts)
     elif rules is not None and policy == "quarantine" and not append and lake.snapshot(quarantine) is not None:
         publish(lake, read_snapshot(lake, quarantine).filter(F.lit(False)), quarantine, evolve=True, partition_by=(), ts=ts)
-    if staging or invalid is not None:
+    if parted and invalid is not None:
+        delete_path(spark, bad_path)
+    elif staging or invalid is not None:
         if not staging:
             path = f"{path}-valid"
         rows, size = added if added is not None else written.count(), file_sizes(spark, [first])[1]
