@@ -56,7 +56,7 @@ ESCAPED_LINES = ("literal_lines_parse", "player_log_job")
 
 @pytest.mark.parametrize("name", [n for n in workload.QUERIES if n not in ESCAPED_LINES])
 def test_no_python_in_the_hot_path(spark, data, name):
-    if name in ("layered_run", "zorder_keeps_rows", "compact_keeps_rows", "register_layers", "snapshot_history",
+    if name in ("layered_run", "layered_run_applications", "zorder_keeps_rows", "compact_keeps_rows", "register_layers", "snapshot_history",
                 "expired_snapshots", "maintenance_metrics", "describe_layers", "metrics_json"):
         pytest.skip("reads stored tables; the plans that wrote them are covered by the other queries")
     text = plan(workload.QUERIES[name](spark, data))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from tierflow.functions.recode import recode_with_table
 from tierflow.operators import pivot, quality, ranking, rfm
 from tierflow.operators.enrich import hot_key_lookup, left_lookup
 from tierflow.plans import layers
-from tierflow.plans.config import LayerConfig
+from tierflow.plans.config import APP_NAMES, LayerConfig
 from tierflow.plans.player_log import player_sessions
 from tierflow.plans.run import run
 from tierflow.runtime import delete_path, local_frame, materialize, scratch_path
@@ -116,15 +116,15 @@ SELECT 'events' AS "Index", '_doc' AS "Type", CAST(event_id AS VARCHAR) AS "Id",
 FROM events
 """
 
-TYPED_SQL = f"""
-SELECT *, CASE "AppName" WHEN 'view' THEN 'TVDuration' WHEN 'click' THEN 'MovieDuration'
-                         WHEN 'purchase' THEN 'SportDuration' WHEN 'signup' THEN 'ChildDuration'
-                         ELSE 'Unknown' END AS "Label"
-FROM ({BRONZE_SQL}) b
-"""
 
-USABLE_SQL = f"""
-SELECT "Contract", "TotalDuration", "Label" FROM ({TYPED_SQL}) t
+def typed_sql(rows: str, mapping: Mapping[str, str]) -> str:
+    cases = " ".join(f"WHEN '{source}' THEN '{target}'" for source, target in mapping.items())
+    return f"""SELECT *, CASE "AppName" {cases} ELSE 'Unknown' END AS "Label" FROM ({rows}) b"""
+
+
+def usable_sql(typed: str) -> str:
+    return f"""
+SELECT "Contract", "TotalDuration", "Label" FROM ({typed}) t
 WHERE "Contract" <> '0' AND "Label" <> 'Unknown' AND "TotalDuration" > 0
 """
 
@@ -133,14 +133,17 @@ def _sum_sql(target: str) -> str:
     return f"""CAST(sum("TotalDuration") FILTER ("Label" = '{target}') AS BIGINT) AS "{target}\""""
 
 
-PIVOT_SQL = f"""
+def pivot_sql(usable: str) -> str:
+    return f"""
 SELECT "Contract", {", ".join(_sum_sql(c) for c in schemas.DURATION_COLUMNS)}
-FROM ({USABLE_SQL}) u GROUP BY "Contract"
+FROM ({usable}) u GROUP BY "Contract"
 """
 
-# Rank the five columns of each row: value descending with nulls last, then label descending.
-SILVER_SQL = f"""
-WITH p AS ({PIVOT_SQL}),
+
+def silver_sql(pivoted: str) -> str:
+    """Rank the five columns of each row: value descending with nulls last, then label descending."""
+    return f"""
+WITH p AS ({pivoted}),
 long AS (
   {" UNION ALL ".join(f'SELECT "Contract", "{c}" AS v, ' + f"'{c[:-8]}' AS k FROM p" for c in schemas.DURATION_COLUMNS)}
 ),
@@ -180,12 +183,22 @@ FROM orders
 """
 
 EVENT_SCORES_SQL = scores_sql(metrics_sql(BRONZE_SQL, "2024-02-01"))
-GOLD_SQL = f"""
+
+
+def gold_sql(silver: str, scores: str) -> str:
+    return f"""
 SELECT s.*, r."RecencyScore", r."FrequencyScore", r."MonetaryDurationScore"
-FROM ({SILVER_SQL}) s JOIN ({EVENT_SCORES_SQL}) r ON s."Contract" = r."Contract"
+FROM ({silver}) s JOIN ({scores}) r ON s."Contract" = r."Contract"
 """
 
 
+TYPED_SQL = typed_sql(BRONZE_SQL, EVENT_MAPPING)
+USABLE_SQL = usable_sql(TYPED_SQL)
+PIVOT_SQL = pivot_sql(USABLE_SQL)
+SILVER_SQL = silver_sql(PIVOT_SQL)
+GOLD_SQL = gold_sql(SILVER_SQL, EVENT_SCORES_SQL)
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # Projections and filters
 
@@ -541,10 +554,10 @@ def hot_user_lookup(spark, sf_dir):
 # Raw sources, written from the events first
 
 
-def _write_hits(spark, sf_dir, broken=None) -> str:
-    """The events as nested JSON lines below one folder per day; lines matching ``broken`` lose their second half."""
+def _write_hits(spark, sf_dir, broken=None, rows=None) -> str:
+    """The events, or other bronze ``rows``, as nested JSON lines below one folder per day; lines matching ``broken`` lose their second half."""
     path = scratch_path(spark, "hits")
-    rows = bronze_events(spark, sf_dir)
+    rows = bronze_events(spark, sf_dir) if rows is None else rows
     hit = F.to_json(
         F.struct(
             F.col("Id").alias("_id"),
@@ -955,6 +968,41 @@ def layered_run(spark, sf_dir):
     return run(lake, _write_hits(spark, sf_dir), EVENTS, read_options=HIT_READ, flatten_options=HIT_FLATTEN)
 
 
+# The applications of the default mapping and one that it does not know, dealt over the events.
+APPLICATIONS = (*APP_NAMES, "OTHER")
+REAL_ROWS = """"Contract" <> '' AND "Contract" <> '0' AND "TotalDuration" > 0"""
+APPLICATION_SQL = f"""
+SELECT * REPLACE (['{"', '".join(APPLICATIONS)}'][1 + (CAST("Id" AS BIGINT) + length("AppName")) % {len(APPLICATIONS)}] AS "AppName")
+FROM ({BRONZE_SQL}) b
+"""
+APPLICATION_RUN = LayerConfig(report_date="2024-02-01", total_days=30, population="usable")
+
+
+def _usable_scores_sql(rows: str) -> str:
+    return scores_sql(metrics_sql(f"SELECT * FROM ({rows}) x WHERE {REAL_ROWS}", "2024-02-01", "30"))
+
+
+@query(
+    "layered_run_applications",
+    gold_sql(silver_sql(pivot_sql(usable_sql(typed_sql(APPLICATION_SQL, APPLICATION_RUN.mapping)))), _usable_scores_sql(APPLICATION_SQL)),
+)
+def layered_run_applications(spark, sf_dir):
+    """The whole job with the default mapping of eight applications, a fixed period of 30 days and only usable rows scored."""
+    place = (F.col("Id").cast("bigint") + F.length("AppName")) % len(APPLICATIONS)
+    names = F.array(*[F.lit(name) for name in APPLICATIONS])
+    rows = bronze_events(spark, sf_dir).withColumn("AppName", F.get(names, place.cast("int")))
+    return run(new_lake(spark), _write_hits(spark, sf_dir, rows=rows), APPLICATION_RUN, read_options=HIT_READ, flatten_options=HIT_FLATTEN)
+
+
+@query("rfm_usable_range", _usable_scores_sql(f"""SELECT * FROM ({BRONZE_SQL}) b WHERE "Date" BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'"""))
+def rfm_usable_range(spark, sf_dir):
+    """Scores over the usable rows of a range of date partitions, as shares of 30 days."""
+    path = scratch_path(spark, "bronze")
+    sink.write_files(bronze_events(spark, sf_dir), path, partition_by=["Date"])
+    rows = read_date_range(spark, path, "2024-01-05", "2024-01-12")
+    return layers.rfm_table(rows, APPLICATION_RUN, rfm.date_bounds(rows, "Date"))
+
+
 @query(
     "compact_fragmented_days",
     f"""
