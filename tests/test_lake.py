@@ -154,6 +154,16 @@ def test_compaction(lake, days):
     assert read_snapshot(lake, "t", version=1).count() == 200
 
 
+def test_days_of_a_partitioned_table_are_not_merged_into_one_task(spark):
+    """The writing task sorts its rows by day; small days together in one task save no file."""
+    path = scratch_path(spark, "days")
+    df = spark.range(0, 4000, 1, 4).select("id", F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 40).cast("int")).alias("Date"))
+    write_files(df, path, partition_by=["Date"])
+    files = spark.read.parquet(path).select("Date", F.element_at(F.split("_metadata.file_name", "-"), 2).alias("task")).distinct()
+    assert files.count() == 40 and files.select("task").distinct().count() > 1
+    assert spark.read.parquet(path).agg(F.count("id"), F.sum("id")).first()[:] == (4000, sum(range(4000)))
+
+
 def test_compaction_of_a_partitioned_table(lake, days):
     small = Layout(max_records=max(1, days.count() // 48))  # a publish balances its files by itself
     publish(lake, days.repartition(16), "t", partition_by=["Date"], layout=small)
