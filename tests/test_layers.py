@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tierflow import schemas
+from tierflow.functions.days import day_sets, days_in_all, days_in_sets, lists_days
 from tierflow.functions.recode import add_category, first_wins, recode, usable_rows
 from tierflow.operators import argmax_column, conditional_pivot, rfm
 from tierflow.operators.pivot import category_pivot, grouped_pivot
@@ -149,6 +150,17 @@ def test_long_periods_need_one_exchange_and_merge(spark, edge):
     assert rows(layers.gold_of(layers.profile(edge, CONFIG, period), CONFIG)) == rows(joined)
 
 
+def test_sets_of_a_long_period_hold_only_the_days_of_their_group(spark):
+    """Their size follows the group's rows; fixed bitmaps took 4,096 bytes for each group, in every task that met it."""
+    first, last = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
+    df = spark.range(600).select((F.col("id") % 300).alias("k"), F.date_add(F.lit(first), (F.col("id") * 4).cast("int")).alias("d"))
+    sets = day_sets(F.col("d"), first, last)
+    held = df.groupBy("k").agg(*[one.alias(f"s{i}") for i, one in enumerate(sets)])
+    assert {len(r["s0"]) for r in held.collect()} == {2} and len(sets) == 1
+    assert days_in_all(held, ["s0"], lists_days(first, last)).first()["n"] == 600
+    assert rows(held.select(days_in_sets([F.col("s0")], True).alias("n")).distinct()) == [(2,)]
+
+
 def test_gold_from_profile_equals_join(edge):
     period = rfm.date_bounds(edge, "Date")
     profiled = layers.profile(edge, CONFIG, period)
