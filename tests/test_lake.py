@@ -5,12 +5,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tierflow.runtime import path_exists, scratch_path
+from tierflow.runtime import materialize, path_exists, scratch_path
 from tierflow.sinks import (
     Lake, Layout, compact, create_table, delete_where, describe, drop_table, ensure_database, expired_snapshots, history,
     load_table, publish, read_snapshot, register_layers, vacuum, zorder,
 )
-from tierflow.sinks import catalog
+from tierflow.sinks import catalog, snapshots
 from tierflow.sinks.lake import file_sizes
 from tierflow.sinks.maintenance import expired_paths, metrics_json
 from tierflow.sinks.snapshots import write_files
@@ -248,6 +248,33 @@ def test_zorder_of_a_partitioned_table(spark, lake):
     assert max(r["rows"] for r in ranges) < 2.5 * 20_000 / 10
 
 
+@pytest.mark.parametrize("per_job", [128, 2])
+@pytest.mark.parametrize("partition_by", [(), ("Date",)])
+def test_large_clustered_files_are_put_together_from_sorted_pieces(spark, monkeypatch, partition_by, per_job):
+    """No task sorts a whole file; the files are as many, as even and as sorted as if one had."""
+    monkeypatch.setattr(snapshots, "SORT_ROWS", 500)
+    monkeypatch.setattr(snapshots, "FILES_PER_JOB", per_job)
+    asked, clustered = [], snapshots.clustered
+    monkeypatch.setattr(snapshots, "clustered", lambda df, columns, parts, *more: asked.append(parts) or clustered(df, columns, parts, *more))
+    df = materialize(spark.range(0, 10_000, 1, 4).select(
+        "id", F.when(F.col("id") % 7 != 0, F.pmod(F.xxhash64("id"), F.lit(900))).alias("a"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 3).cast("int")).alias("Date"),
+    ))
+    path = scratch_path(spark, "pieced")
+    write_files(df, path, "parquet", partition_by, Layout(cluster_by=("a",), target_bytes=1000), 10_000, 5000)
+    assert asked == [20]
+    same(spark.read.parquet(path).select("id", "a", "Date"), df)
+    stored = spark.read.parquet(path).select("Date", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"), "a").collect()
+    by_file = {}
+    for row in sorted(stored, key=lambda x: x["i"]):
+        by_file.setdefault((row["Date"] if partition_by else None, row["f"]), []).append(-1 if row["a"] is None else row["a"])
+    assert all(values == sorted(values) for values in by_file.values())
+    assert len(by_file) == 5 if not partition_by else 5 <= len(by_file) <= 7
+    ends = sorted((day or dt.date.min, min(v), max(v)) for (day, _), v in by_file.items())
+    assert all(x[0] != y[0] or x[2] <= y[1] for x, y in zip(ends, ends[1:]))
+    assert max(map(len, by_file.values())) < 2 * 10_000 / 5
+
+
 def test_metrics_as_json(lake, days):
     publish(lake, days, "t")
     assert '"operation":"compact"' in metrics_json(compact(lake, "t")).first()[0]
