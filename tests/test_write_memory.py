@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierflow import workload
 from tierflow.runtime import scratch_path
 from tierflow.sinks import Lake, Layout, publish
+from tierflow.sinks.partitions import compact_partitions, delete_in_partitions
 from tierflow.sinks.snapshots import OPEN_WRITERS, write_files
 
 
@@ -71,6 +72,29 @@ def test_more_directories_than_a_task_holds_open(spark):
     assert stored.select("Date", "_metadata.file_path").distinct().count() == df.select("Date").distinct().count() > 4 * OPEN_WRITERS
 
 
+def test_deleting_by_day_does_not_sort_what_it_keeps(spark, tmp_path):
+    path, df = scratch_path(spark, "days"), by_day(spark, 30)
+    write_files(df, path, partition_by=["Date"])
+    gone = "id % 7 = 0 OR Date = DATE'2024-01-03'"
+    tasks = writing_tasks(spark, tmp_path, lambda: delete_in_partitions(spark, path, gone, ["Date"]))
+    assert {peak for _, peak in tasks} == {0}
+    left = df.filter(f"NOT coalesce({gone}, false)")
+    assert sum(rows for rows, _ in tasks) == left.count()
+    stored = spark.read.parquet(path).select(*df.columns)
+    same(stored, left)
+    assert stored.select("Date", "_metadata.file_path").distinct().count() == left.select("Date").distinct().count()
+
+
+def test_compacting_by_day_does_not_sort(spark, tmp_path):
+    path, df = scratch_path(spark, "days"), by_day(spark, 5)
+    df.repartition(8).write.partitionBy("Date").parquet(path)
+    tasks = writing_tasks(spark, tmp_path, lambda: compact_partitions(spark, path, ["Date"]))
+    assert sum(rows for rows, _ in tasks) == 40_000 and {peak for _, peak in tasks} == {0}
+    stored = spark.read.parquet(path).select(*df.columns)
+    same(stored, df)
+    assert stored.select("Date", "_metadata.file_path").distinct().count() == df.select("Date").distinct().count()
+
+
 @pytest.fixture(scope="module")
 def events(spark, tmp_path_factory):
     """A folder with an events table of twelve days and a null day."""

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.runtime import delete_path, local_frame
-from tierflow.sinks.snapshots import TARGET_FILE_BYTES
+from tierflow.runtime import delete_path, local_frame, session_conf
+from tierflow.sinks.snapshots import BY_DIRECTORY, TARGET_FILE_BYTES
 
 FILES = "part-*"
 RUN_FILES = 1000
@@ -53,7 +53,8 @@ def _in(partition_by: Sequence[str], values: Sequence[Sequence[Any]]) -> Column:
 
 def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> None:
     writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("compression", "zstd").partitionBy(*partition_by).save(path)
+    with session_conf(df.sparkSession, BY_DIRECTORY):
+        writer.option("compression", "zstd").partitionBy(*partition_by).save(path)
 
 
 def pack_files(
